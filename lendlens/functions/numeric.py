@@ -55,13 +55,15 @@ def row_stats(cols: list[Column]) -> dict[str, Column]:
 
 
 def yeo_johnson(x: Column, lam: Column) -> Column:
-    """Yeo-Johnson power transform (Yeo and Johnson 2000) for a given lambda."""
-    two = F.lit(2.0)
-    positive = F.when(lam == 0.0, F.log1p(x)).otherwise(F.try_divide(F.pow(x + 1.0, lam) - 1.0, lam))
-    negative = F.when(lam == 2.0, -F.log1p(-x)).otherwise(
-        -F.try_divide(F.pow(1.0 - x, two - lam) - 1.0, two - lam)
-    )
-    return F.when(x >= 0, positive).when(x < 0, negative)
+    """Yeo-Johnson power transform (Yeo and Johnson 2000) for a given lambda.
+
+    ((x+1)^lambda - 1) / lambda as expm1(lambda * log1p(x)) / lambda, which keeps its digits near 0.
+    """
+
+    def power(log_value: Column, exponent: Column) -> Column:
+        return F.when(exponent == 0.0, log_value).otherwise(F.try_divide(F.expm1(exponent * log_value), exponent))
+
+    return F.when(x >= 0, power(F.log1p(x), lam)).when(x < 0, -power(F.log1p(-x), F.lit(2.0) - lam))
 
 
 def _md5(key: Column, seed: int | str) -> Column:

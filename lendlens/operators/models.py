@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.operators.metrics import threshold_search
+from lendlens.operators.parallel import PARALLELISM, side_by_side
 from lendlens.session import materialize, work_dir
 
 SEED = 42
@@ -109,6 +110,17 @@ class Fitted:
     threshold: float = 0.5
 
 
+# a train partition below this size is merged with others: boosting runs hundreds of short jobs
+PARTITION_BYTES = 8 * 1024 * 1024
+
+
+def _packed(df: DataFrame, vec: str) -> DataFrame:
+    """Fewer partitions if the rows are few; never more, and no shuffle."""
+    rows, width = df.agg(F.count("*"), F.max(F.size(vec))).first()
+    wanted = max(1, -(-rows * 8 * (width or 1) // PARTITION_BYTES))
+    return df.coalesce(wanted)
+
+
 def with_vector(df: DataFrame, vec: str, label: str | None = None) -> DataFrame:
     """Adds the ML vector and, with a label, balanced class weights n / (2 * rows of the class)."""
     out = df.withColumn(VECTOR, array_to_vector(F.col(vec)))
@@ -131,7 +143,7 @@ def fit_prepared(name: str, train: DataFrame, label: str, n_rows: int, settings:
 
 def fit(name: str, train: DataFrame, vec: str, label: str, settings: Settings | None = None) -> Fitted:
     work_dir(train.sparkSession)  # boosting cuts its lineage there
-    ready = with_vector(train, vec, label).persist()
+    ready = with_vector(_packed(train, vec), vec, label).persist()
     try:
         return fit_prepared(name, ready, label, ready.count(), settings)
     finally:
@@ -172,8 +184,7 @@ def score_all(fitted: list[Fitted], df: DataFrame, vec: str, keep: list[str]) ->
     return wide.select(*keep, F.inline(rows))
 
 
-def save(fitted: Fitted, path: str) -> None:
-    spark = SparkSession.getActiveSession()
+def save(spark: SparkSession, fitted: Fitted, path: str) -> None:
     fitted.model.write().overwrite().save(f"{path}/model")
     rows = [(fitted.name, float(fitted.threshold))]
     spark.createDataFrame(rows, "name string, threshold double").coalesce(1).write.mode("overwrite").parquet(
@@ -200,38 +211,44 @@ def sweep(
     label: str,
     settings: Settings | None = None,
     save_to: str | None = None,
+    parallelism: int = PARALLELISM,
 ) -> Sweep:
     """Fit every model on every feature set and score its validation rows.
 
     A failing fit becomes a row of ``errors`` and does not stop the others. Train rows are cached once per
-    feature set; validation rows are read once per feature set for all models together.
+    feature set; validation rows are read once per feature set for all models together. ``parallelism``
+    fits run side by side.
     """
-    spark = SparkSession.getActiveSession()
+    spark = next(iter(feature_sets.values())).train.sparkSession
     work_dir(spark)
-    parts, errors, kept = [], [], {}
-    for set_name, data in feature_sets.items():
-        train = with_vector(data.train, "features", label).persist()
-        done = []
+    ready = {n: with_vector(_packed(d.train, "features"), "features", label).persist() for n, d in feature_sets.items()}
+    sizes = {n: df.count() for n, df in ready.items()}
+
+    def one(task: tuple[str, str]) -> tuple[Fitted | None, str]:
+        name, set_name = task
         try:
-            n_rows = train.count()
-            for name in models:
-                try:
-                    fitted = fit_prepared(name, train, label, n_rows, settings)
-                    if save_to:
-                        save(fitted, f"{save_to}/{name}_{set_name}")
-                except Exception as problem:  # noqa: BLE001 - reported as a result row
-                    errors.append((name, set_name, str(problem)[:500]))
-                    continue
-                done.append(fitted)
-                kept[(name, set_name)] = fitted
-        finally:
-            train.unpersist()
-        if done:
-            scored = score_all(done, data.val, "features", [id_col, label])
-            parts.append(materialize(scored.withColumn("feature_set", F.lit(set_name)), "scores"))
+            fitted = fit_prepared(name, ready[set_name], label, sizes[set_name], settings)
+            if save_to:
+                save(spark, fitted, f"{save_to}/{name}_{set_name}")
+            return fitted, ""
+        except Exception as problem:  # noqa: BLE001 - reported as a result row
+            return None, str(problem)[:500]
+
+    tasks = [(name, set_name) for name in models for set_name in feature_sets]
+    try:
+        outcomes = dict(zip(tasks, side_by_side(spark, one, tasks, parallelism)))
+    finally:
+        for df in ready.values():
+            df.unpersist()
+
+    kept = {task: fitted for task, (fitted, _) in outcomes.items() if fitted is not None}
+    errors = [(*task, problem) for task, (fitted, problem) in outcomes.items() if fitted is None]
     schema = f"{id_col} bigint, {label} int, model_name string, score double, prediction int, feature_set string"
     scores = spark.createDataFrame([], schema)
-    for part in parts:
-        scores = scores.unionByName(part)
+    for set_name, data in feature_sets.items():
+        done = [kept[(name, set_name)] for name in models if (name, set_name) in kept]
+        if done:
+            scored = score_all(done, data.val, "features", [id_col, label])
+            scores = scores.unionByName(scored.withColumn("feature_set", F.lit(set_name)))
     failed = spark.createDataFrame(errors, "model_name string, feature_set string, error string")
-    return Sweep(scores, failed, kept)
+    return Sweep(materialize(scores, "scores"), failed, kept)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +24,8 @@ SKEW_LIMIT = 0.5
 
 GRID_POINTS = 21
 GRID_START = (-2.0, 2.0)
-PASSES = 6
-SHIFTS = 20
+LAST_STEP = 2.5e-6
+MAX_PASSES = 40
 
 
 def candidates(df: DataFrame) -> list[str]:
@@ -67,29 +65,21 @@ def skewed_columns(df: DataFrame, cols: list[str], limit: float = SKEW_LIMIT) ->
 def likelihood_grid(df: DataFrame, cols: list[str], grids: dict[str, list[float]]) -> DataFrame:
     """Log-likelihood of each column's lambda grid in one pass over the data: (column, lambda, loglik).
 
-    Grids have the same length and are looked up per row; the plan holds one variance per grid place.
+    Every value meets the grid of its column; the variances are added up per task before the shuffle,
+    which moves one row per task, column and lambda.
     """
-    points = len(next(iter(grids.values())))
-    lookup = F.create_map(*[e for c in cols for e in (F.lit(c), F.array(*[F.lit(float(v)) for v in grids[c]]))])
-    rows = long_form(df, cols).withColumn("_grid", lookup[F.col("column")])
-    aggregates = [
-        F.var_pop(yeo_johnson(F.col("value"), F.col("_grid")[i])).alias(f"_var{i}") for i in range(points)
-    ]
-    sums = rows.groupBy("column").agg(
-        F.count("value").alias("_n"),
-        F.sum(F.signum("value") * F.log1p(F.abs("value"))).alias("_jacobian"),
-        F.first("_grid").alias("_grid"),
-        *aggregates,
-    )
-    cells = sums.select(
-        "column",
-        "_n",
-        "_jacobian",
-        F.inline(F.arrays_zip("_grid", F.array(*[f"_var{i}" for i in range(points)]).alias("_var"))).alias("lam", "_v"),
+    places = {c: i for i, c in enumerate(cols)}
+    grid_of = F.array(*[F.array(*[F.lit(float(v)) for v in grids[c]]) for c in cols])
+    at = F.create_map(*[v for c, i in places.items() for v in (F.lit(c), F.lit(i))])
+    jacobian = F.signum("value") * F.log1p(F.abs("value"))
+    rows = long_form(df, cols).filter("value IS NOT NULL").select(at[F.col("column")].alias("c"), "value")
+    met = rows.select("c", "value", F.explode(F.get(grid_of, F.col("c"))).alias("lam"))
+    sums = met.groupBy("c", "lam").agg(
+        F.count("*").alias("_n"), F.sum(jacobian).alias("_jacobian"), F.var_pop(yeo_johnson(F.col("value"), F.col("lam"))).alias("_v")
     )
     usable = (F.col("_v") > 0) & ~F.isnan("_v") & (F.abs("_v") != float("inf"))
-    return cells.select(
-        "column",
+    return sums.select(
+        F.get(F.array(*[F.lit(c) for c in cols]), F.col("c")).alias("column"),
         F.col("lam").alias("lambda"),
         # a lambda that overflows has no likelihood and is never chosen
         F.when(usable, -F.col("_n") / 2 * F.log("_v") + (F.col("lam") - 1) * F.col("_jacobian")).alias("loglik"),
@@ -103,49 +93,44 @@ def even_grid(lo: float, hi: float, points: int = GRID_POINTS) -> list[float]:
 def fit_lambdas(df: DataFrame, cols: list[str]) -> dict[str, float]:
     """Maximum-likelihood lambda per column by grid refinement, all columns in the same pass.
 
-    Each pass narrows the interval tenfold around the best point; a best point at an end moves the
-    interval instead, as the search range is not bounded.
+    Each pass narrows the interval tenfold around the best point; a best point at an end moves and
+    widens the interval instead, as the search range is not bounded.
     """
-    if not cols:
-        return {}
-    bounds = {c: GRID_START for c in cols}
-    narrowed = {c: 0 for c in cols}
     best: dict[str, float] = {}
-    active = list(cols)
+    bounds = {c: GRID_START for c in cols}
+    if not cols:
+        return best
     # stays in memory or on local disk between the passes; a lost part is recomputed from the mart
     data = df.select(*[quoted(c) for c in cols]).persist()
     try:
-        for _ in range(PASSES + SHIFTS):
-            if not active:
-                break
-            grids = {c: even_grid(*bounds[c]) for c in active}
-            # one row per column and grid place
-            found = likelihood_grid(data, active, grids).filter("loglik IS NOT NULL").collect()
-            top = {}
-            for r in found:
-                if r["column"] not in top or r["loglik"] > top[r["column"]][1]:
-                    top[r["column"]] = (r["lambda"], r["loglik"])
-            for c in list(active):
-                if c not in top or not math.isfinite(top[c][1]):
-                    active.remove(c)
-                    continue
-                lam = top[c][0]
-                best[c] = lam
+        for _ in range(MAX_PASSES):
+            grids = {c: even_grid(*b) for c, b in bounds.items()}
+            top = _best_points(likelihood_grid(data, list(grids), grids))
+            following = {}
+            for c in grids:
+                if c not in top:
+                    continue  # constant, or no lambda without overflow
+                best[c] = lam = top[c]
                 lo, hi = bounds[c]
                 step = (hi - lo) / (GRID_POINTS - 1)
                 if lam in (grids[c][0], grids[c][-1]):
-                    half = (hi - lo) / 2
-                    bounds[c] = (lam - half, lam + half)
-                    continue
-                bounds[c] = (lam - step, lam + step)
-                narrowed[c] += 1
-                if narrowed[c] == PASSES:
-                    active.remove(c)
+                    following[c] = (lam - (hi - lo), lam + (hi - lo))
+                elif step > LAST_STEP:
+                    following[c] = (lam - step, lam + step)
+            bounds = following
+            if not bounds:
+                break
     finally:
         data.unpersist()
     return best
 
 
+def _best_points(grid: DataFrame) -> dict[str, float]:
+    """One row per column and grid place comes to the driver; the flatter lambda wins a tie."""
+    rows = sorted(grid.filter("loglik IS NOT NULL").collect(), key=lambda r: (r["loglik"], -abs(r["lambda"])))
+    return {r["column"]: r["lambda"] for r in rows}
+
+
 def fit_power(df: DataFrame, cols: list[str] | None = None, limit: float = SKEW_LIMIT) -> dict[str, float]:
     """Lambda of every candidate column that is skewed enough."""
     cols = candidates(df) if cols is None else cols

@@ -11,7 +11,7 @@ from lendlens.operators import models, report
 from lendlens.operators.metrics import auc, experiment_metrics
 from lendlens.operators.thinfile import mask_for, mask_spread, profile, slice_metrics
 from lendlens.plans.mart import KEY, TARGET, applicant_mart
-from lendlens.plans.prepare import FeatureSet, Prepared, load_or_prepare
+from lendlens.plans.prepare import FeatureSet, Prepared, apply_params, load_or_prepare, load_params
 from lendlens.session import materialize
 from lendlens.sources.tables import read_sources, write_csv
 
@@ -118,8 +118,6 @@ def score_new(
     spark: SparkSession, paths: dict[str, str], work: str, model: str, feature_set: str = "all"
 ) -> DataFrame:
     """Scores of new applicants with the saved state and model: (key, score, prediction)."""
-    from lendlens.plans.prepare import apply_params, load_params
-
     mart = applicant_mart(read_sources(spark, paths))
     rows = apply_params(mart, load_params(spark, f"{work}/prepared/params"), feature_set)
     return models.score(models.load(spark, f"{work}/models/{model}_{feature_set}"), rows, "features").drop("features")

@@ -15,6 +15,7 @@ from lendlens.operators import encode, power, split
 from lendlens.operators.clean import clean
 from lendlens.operators.families import features_of
 from lendlens.operators.oversample import smote
+from lendlens.operators.parallel import side_by_side
 from lendlens.operators.scale import Scaler, fit_scaler, scale_to_array, scaler_from_table
 from lendlens.plans.mart import KEY, TARGET
 from lendlens.session import materialize, work_dir
@@ -86,14 +87,16 @@ def prepare(
     train_rows = encoded.filter(~F.col("is_val"))
     scaler = fit_scaler(train_rows, sets["all"])
 
-    for name, cols in sets.items():
-        own = scaler.subset(cols)
+    def write_set(name: str) -> None:
+        own = scaler.subset(sets[name])
         val = scale_to_array(encoded.filter("is_val"), own, [key, target])
         val.write.mode("overwrite").parquet(f"{path}/{name}/val")
         train = materialize(scale_to_array(train_rows, own, [key, target]), "train")
         smote(train, key, "features", target, ratio=ratio, seed=seed).write.mode("overwrite").parquet(
             f"{path}/{name}/train"
         )
+
+    side_by_side(spark, write_set, list(sets))
     params = Params(lambdas, encodings, scaler, sets)
     save_params(spark, params, f"{path}/params")
     return load_prepared(spark, path)
@@ -148,15 +151,15 @@ def load_or_prepare(
 def apply_params(mart: DataFrame, params: Params, feature_set: str, key: str = KEY) -> DataFrame:
     """New applicants through the fitted transforms: (key, features). Columns that are absent count 0."""
     cols = params.sets[feature_set]
-    encoded = transform(clean(mart, keep=(key,)), _present(params.lambdas, mart), params.encodings)
+    given = set(mart.columns)
+    encoded = transform(
+        clean(mart, keep=(key,)),
+        {c: v for c, v in params.lambdas.items() if c in given},
+        [e for e in params.encodings if e.column in given],
+    )
     have = set(encoded.columns)
     full = encoded.select(
         F.col(key).cast("bigint").alias(key),
         *[quoted(c) if c in have else F.lit(0.0).alias(c) for c in cols],
     )
     return scale_to_array(full, params.scaler.subset(cols), [key])
-
-
-def _present(lambdas: dict[str, float], df: DataFrame) -> dict[str, float]:
-    have = set(df.columns)
-    return {c: v for c, v in lambdas.items() if c in have}
