@@ -51,14 +51,14 @@ def application_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     null = F.lit(None)
     return customer.select(
         key.alias("SK_ID_CURR"),
-        (F.round(F.col("c_acctbal") + 1500.0, 2)).alias("AMT_INCOME_TOTAL"),
+        (F.col("c_acctbal") + 1500.0).alias("AMT_INCOME_TOTAL"),
         (((key * 7919) % 90000) + 1000).cast("double").alias("AMT_CREDIT"),
         F.when(F.col("c_nationkey") == 3, null).otherwise(((key * 31) % 4000 + 100).cast("double")).alias("AMT_ANNUITY"),
         F.when(F.col("c_nationkey") == 5, null).otherwise(((key * 7907) % 80000).cast("double")).alias("AMT_GOODS_PRICE"),
         (-(F.lit(7000) + (key * 37) % 18000)).alias("DAYS_BIRTH"),
         F.when(key % 11 == 0, F.lit(365243)).otherwise(-((key * 53) % 9000)).cast("bigint").alias("DAYS_EMPLOYED"),
-        F.when(key % 7 == 0, null).otherwise(F.round((F.col("c_acctbal") + 1000.0) / 11000.0, 4)).alias("EXT_SOURCE_1"),
-        F.when(key % 13 == 0, null).otherwise(F.round(hashed_uniform(key, "ext"), 4)).alias("EXT_SOURCE_2"),
+        F.when(key % 7 == 0, null).otherwise((F.col("c_acctbal") + 1000.0) / 11000.0).alias("EXT_SOURCE_1"),
+        F.when(key % 13 == 0, null).otherwise(hashed_uniform(key, "ext")).alias("EXT_SOURCE_2"),
         F.when(key % 5 < 2, null).otherwise((key * 17 % 100) / 100.0).alias("EXT_SOURCE_3"),
         (F.col("n_regionkey") + 1).cast("int").alias("REGION_RATING_CLIENT"),
         (key % 2).cast("int").alias("FLAG_PHONE"),

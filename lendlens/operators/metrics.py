@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlens.operators.ordered import running_totals
@@ -30,16 +30,17 @@ def auc(df: DataFrame, score: str, label: str, by: list[str] | None = None) -> D
     return sums.select(*by, "n_pos", "n_neg", F.try_divide("_wins", pairs).alias("auc"))
 
 
-def acceptance_curve(df: DataFrame, id_col: str, score: str, label: str, by: list[str] | None = None) -> DataFrame:
-    """Every cut of the rows sorted by score (ties by id): ``n`` accepted of ``n_all``, ``bad`` among
-    them and the ``bad_rate``."""
-    by = by or []
-    rows = df.select(*by, id_col, score, F.col(label).cast("bigint").alias("bad"), F.lit(1).cast("bigint").alias("n"))
+def _running(df: DataFrame, id_col: str, score: str, label: str, by: list[str]) -> DataFrame:
+    """Rows with ``n`` and ``bad`` accepted up to and including them, sorted by score, ties by id."""
+    rows = df.select(
+        *by, id_col, score, F.col(label).cast("bigint").alias("bad"), F.lit(1).cast("bigint").alias("n")
+    )
     run = running_totals(rows, [score, id_col], ["n", "bad"], by)
     return run.select(
         *by,
         id_col,
         score,
+        F.col("bad").alias("is_bad"),
         F.col("cum_n").alias("n"),
         F.col("cum_bad").alias("bad"),
         (F.col("cum_bad") / F.col("cum_n")).alias("bad_rate"),
@@ -47,6 +48,34 @@ def acceptance_curve(df: DataFrame, id_col: str, score: str, label: str, by: lis
     )
 
 
+def acceptance_curve(df: DataFrame, id_col: str, score: str, label: str, by: list[str] | None = None) -> DataFrame:
+    """Every cut of the rows sorted by score (ties by id): ``n`` accepted of ``n_all``, ``bad`` among
+    them and the ``bad_rate``."""
+    return _running(df, id_col, score, label, by or []).drop("is_bad")
+
+
+def _candidates(score: str, target: float) -> list[Column]:
+    """The last cut that keeps the bad rate, and the cut at the best tenth for when there is none."""
+    point = F.struct("n", score, "bad_rate")
+    tenth = F.greatest(F.lit(1), F.floor(F.lit(FALLBACK_SHARE) * F.col("n_all")))
+    return [
+        F.max("n_all").alias("n_all"),
+        F.max(F.when(F.col("bad_rate") <= target, point)).alias("_best"),
+        F.min(F.when(F.col("n") >= tenth, point)).alias("_few"),
+    ]
+
+
+def _chosen(score: str) -> list[Column]:
+    chosen = F.coalesce("_best", "_few")
+    return [
+        chosen["n"].alias("n_accepted"),
+        (chosen["n"] / F.col("n_all")).alias("acceptance_rate"),
+        F.when(F.col("_best.n") == F.col("n_all"), F.lit(1.0)).otherwise(chosen[score]).alias("threshold"),
+        chosen["bad_rate"].alias("actual_bad_rate"),
+        F.col("_best").isNull().alias("is_fallback"),
+    ]
+
+
 def acceptance(
     df: DataFrame,
     id_col: str,
@@ -65,37 +94,39 @@ def acceptance(
     by = by or []
     curve = acceptance_curve(df, id_col, score, label, by)
     if tie == "whole":
-        curve = curve.groupBy(*by, score).agg(
+        ends = curve.groupBy(*by, score).agg(
             F.max("n").alias("n"), F.max("bad").alias("bad"), F.max("n_all").alias("n_all")
         )
-        curve = curve.withColumn("bad_rate", F.col("bad") / F.col("n"))
+        curve = ends.withColumn("bad_rate", F.col("bad") / F.col("n"))
     elif tie != "cut":
         raise ValueError(f"tie must be 'cut' or 'whole', not {tie!r}")
-    point = F.struct("n", score, "bad_rate")
-    conservative = F.greatest(F.lit(1), F.floor(F.lit(FALLBACK_SHARE) * F.col("n_all")))
-    # with whole ties the best tenth ends at the first score that reaches it
-    best = curve.groupBy(*by).agg(
-        F.max("n_all").alias("n_all"),
-        F.max(F.when(F.col("bad_rate") <= target, point)).alias("_best"),
-        F.min(F.when(F.col("n") >= conservative, point)).alias("_few"),
-    )
-    chosen = F.coalesce("_best", "_few")
-    return best.select(
-        *by,
-        "n_all",
-        chosen["n"].alias("n_accepted"),
-        (chosen["n"] / F.col("n_all")).alias("acceptance_rate"),
-        F.when(F.col("_best.n") == F.col("n_all"), F.lit(1.0)).otherwise(chosen[score]).alias("threshold"),
-        chosen["bad_rate"].alias("actual_bad_rate"),
-        F.col("_best").isNull().alias("is_fallback"),
-    )
+    return curve.groupBy(*by).agg(*_candidates(score, target)).select(*by, "n_all", *_chosen(score))
 
 
 def experiment_metrics(
     scores: DataFrame, id_col: str, score: str, label: str, by: list[str], target: float = BAD_RATE
 ) -> DataFrame:
-    """AUC and acceptance of every experiment: one row per value of ``by``."""
-    return auc(scores, score, label, by).join(acceptance(scores, id_col, score, label, target, by), by)
+    """The columns of ``auc`` and ``acceptance`` for every experiment, from one sort of the scores."""
+    run = _running(scores, id_col, score, label, by)
+    # equal scores first, as they share one rank in the AUC
+    per_score = run.groupBy(*by, score).agg(
+        *_candidates(score, target),
+        F.max(F.col("n") - F.col("bad")).alias("_neg_upto"),
+        F.sum("is_bad").alias("_pos"),
+        F.sum(1 - F.col("is_bad")).alias("_neg"),
+    )
+    whole = per_score.groupBy(*by).agg(
+        F.max("n_all").alias("n_all"),
+        F.max("_best").alias("_best"),
+        F.min("_few").alias("_few"),
+        F.sum("_pos").alias("n_pos"),
+        F.sum("_neg").alias("n_neg"),
+        F.sum(F.col("_pos").cast("double") * (F.col("_neg_upto") - F.col("_neg") / 2)).alias("_wins"),
+    )
+    pairs = F.col("n_pos").cast("double") * F.col("n_neg")
+    return whole.select(
+        *by, "n_pos", "n_neg", F.try_divide("_wins", pairs).alias("auc"), "n_all", *_chosen(score)
+    )
 
 
 def threshold_curve(df: DataFrame, score: str, label: str, n: int = CUT_POINTS) -> DataFrame:
