@@ -224,7 +224,7 @@ def class_balance(spark, d):
 
 @query
 def stratified_split(spark, d):
-    df = split.stratified(materialize(t.planted_target(spark, d)), KEY, TARGET)
+    df = split.stratified(t.planted_target(spark, d), KEY, TARGET)
     return df.select(KEY, TARGET, F.col("is_val").cast("int").alias("is_val"))
 
 
@@ -280,14 +280,12 @@ def smote_balanced(spark, d):
 
 def base_scores(spark, d) -> DataFrame:
     """Per applicant: label and two signals, one from the order history and one from the balance."""
-    orders = t.read(spark, d, "orders").groupBy("o_custkey").agg(F.avg("o_totalprice").alias("price"))
-    customer = t.read(spark, d, "customer").select("c_custkey", "c_acctbal")
-    signals = customer.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left").select(
-        F.col("c_custkey").alias(KEY),
-        r(F.coalesce(F.col("price"), F.lit(0.0)) / 500000.0).alias("trad"),
-        r((F.col("c_acctbal") + 1000.0) / 11000.0).alias("alt"),
+    return t.order_signals(spark, d).select(
+        KEY,
+        TARGET,
+        r(F.col("price") / 500000.0).alias("trad"),
+        r((F.col("balance") + 1000.0) / 11000.0).alias("alt"),
     )
-    return materialize(signals.join(t.planted_target(spark, d), KEY), "signals")
 
 
 def fixed_scores(base: DataFrame) -> DataFrame:

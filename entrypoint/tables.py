@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.functions import hashed_uniform
+from lendlens.session import materialize
 
 KEY, TARGET = "SK_ID_CURR", "TARGET"
 DAY_ZERO = "2002-01-01"
@@ -15,32 +16,39 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def planted_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(SK_ID_CURR, TARGET): a rare class that depends on order prices, order count and balance."""
+def order_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(SK_ID_CURR, balance, price, cnt, TARGET) per customer.
+
+    The planted rare class depends on mean order price, order count and balance.
+    """
     orders = read(spark, sf_dir, "orders")
     per_customer = orders.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("price"), F.count("*").alias("cnt"))
-    base = (
+    base = materialize(
         read(spark, sf_dir, "customer")
-        .select("c_custkey", "c_acctbal")
         .join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
         .select(
-            "c_custkey",
-            "c_acctbal",
+            F.col("c_custkey").alias(KEY),
+            F.col("c_acctbal").alias("balance"),
             F.coalesce("price", F.lit(0.0)).alias("price"),
             F.coalesce("cnt", F.lit(0)).cast("double").alias("cnt"),
-        )
+        ),
+        "signals",
     )
     # one row of means and deviations, so the target is a plain expression over the base rows
     z = base.agg(
-        *[f(c).alias(f"{n}_{c}") for c in ("price", "cnt", "c_acctbal") for n, f in (("m", F.avg), ("s", F.stddev_pop))]
+        *[f(c).alias(f"{n}_{c}") for c in ("price", "cnt", "balance") for n, f in (("m", F.avg), ("s", F.stddev_pop))]
     ).first()
 
     def standard(c: str):
         return (F.col(c) - z[f"m_{c}"]) / z[f"s_{c}"]
 
-    logit = F.lit(3.0) - standard("price") + 0.8 * standard("cnt") - 0.8 * standard("c_acctbal")
-    bad = hashed_uniform(F.col("c_custkey"), 42) < 1.0 / (1.0 + F.exp(logit))
-    return base.select(F.col("c_custkey").alias("SK_ID_CURR"), bad.cast("int").alias("TARGET"))
+    logit = F.lit(3.0) - standard("price") + 0.8 * standard("cnt") - 0.8 * standard("balance")
+    bad = hashed_uniform(F.col(KEY), 42) < 1.0 / (1.0 + F.exp(logit))
+    return base.withColumn(TARGET, bad.cast("int"))
+
+
+def planted_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_signals(spark, sf_dir).select(KEY, TARGET)
 
 
 def application_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:

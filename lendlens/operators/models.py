@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -116,9 +117,10 @@ PARTITION_BYTES = 8 * 1024 * 1024
 
 def _packed(df: DataFrame, vec: str) -> DataFrame:
     """Fewer partitions if the rows are few; never more, and no shuffle."""
-    rows, width = df.agg(F.count("*"), F.max(F.size(vec))).first()
-    wanted = max(1, -(-rows * 8 * (width or 1) // PARTITION_BYTES))
-    return df.coalesce(wanted)
+    some = df.select(F.size(vec)).first()
+    if some is None:
+        return df
+    return df.coalesce(max(1, math.ceil(df.count() * 8 * some[0] / PARTITION_BYTES)))
 
 
 def with_vector(df: DataFrame, vec: str, label: str | None = None) -> DataFrame:
@@ -221,25 +223,25 @@ def sweep(
     """
     spark = next(iter(feature_sets.values())).train.sparkSession
     work_dir(spark)
-    ready = {n: with_vector(_packed(d.train, "features"), "features", label).persist() for n, d in feature_sets.items()}
-    sizes = {n: df.count() for n, df in ready.items()}
-
-    def one(task: tuple[str, str]) -> tuple[Fitted | None, str]:
-        name, set_name = task
+    outcomes: dict[tuple[str, str], tuple[Fitted | None, str]] = {}
+    for set_name, data in feature_sets.items():
+        ready = with_vector(_packed(data.train, "features"), "features", label).persist()
         try:
-            fitted = fit_prepared(name, ready[set_name], label, sizes[set_name], settings)
-            if save_to:
-                save(spark, fitted, f"{save_to}/{name}_{set_name}")
-            return fitted, ""
-        except Exception as problem:  # noqa: BLE001 - reported as a result row
-            return None, str(problem)[:500]
-
-    tasks = [(name, set_name) for name in models for set_name in feature_sets]
-    try:
-        outcomes = dict(zip(tasks, side_by_side(spark, one, tasks, parallelism)))
-    finally:
-        for df in ready.values():
-            df.unpersist()
+            n_rows = ready.count()
+
+            def one(name: str, set_name: str = set_name, ready: DataFrame = ready, n_rows: int = n_rows):
+                try:
+                    fitted = fit_prepared(name, ready, label, n_rows, settings)
+                    if save_to:
+                        save(spark, fitted, f"{save_to}/{name}_{set_name}")
+                    return fitted, ""
+                except Exception as problem:  # noqa: BLE001 - reported as a result row
+                    return None, str(problem)[:500]
+
+            done = side_by_side(spark, one, models, parallelism)
+            outcomes.update({(name, set_name): outcome for name, outcome in zip(models, done)})
+        finally:
+            ready.unpersist()
 
     kept = {task: fitted for task, (fitted, _) in outcomes.items() if fitted is not None}
     errors = [(*task, problem) for task, (fitted, problem) in outcomes.items() if fitted is None]

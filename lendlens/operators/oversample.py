@@ -28,17 +28,18 @@ def new_row_count(n_minor: int, n_major: int, ratio: float = RATIO, k: int = NEI
     return missing
 
 
-def join_popular(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def join_popular(left: DataFrame, right: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """Inner join with a table that holds ``key`` once, where a few keys of ``left`` may be very frequent.
 
-    The frequent keys are at most HOT_SHARE, so their rows of ``right`` are broadcast; every other key
-    has a bounded number of rows and goes through the ordinary join.
+    ``keys`` is a narrow table with the key column of ``left``. Its frequent keys are at most HOT_SHARE, so
+    their rows of ``right`` are broadcast; every other key has a bounded number of rows and goes through
+    the ordinary join.
     """
-    counts = left.groupBy(key).agg(F.count("*").alias("_n"))
-    total = left.count()
+    total = keys.count()
     limit = max(HOT_ROWS, total // HOT_SHARE)
     if total <= limit:
         return left.join(right, key)
+    counts = keys.groupBy(key).agg(F.count("*").alias("_n"))
     hot = [r[key] for r in counts.filter(F.col("_n") > limit).collect()]
     if not hot:
         return left.join(right, key)
@@ -75,12 +76,12 @@ def synthetic_rows(
     )
     chosen = materialize(chosen, "chosen")
     with_base = chosen.join(rows, "a")
-    both = join_popular(with_base, rows.select(F.col("a").alias("b"), F.col("x").alias("y")), "b")
+    both = join_popular(with_base, rows.select(F.col("a").alias("b"), F.col("x").alias("y")), "b", chosen)
     step = F.zip_with("x", F.zip_with("x", "y", lambda p, q: q - p), lambda p, d: p + F.col("u") * d)
     return both.select("i", "a", "b", "u", step.alias(vec))
 
 
-def smote(
+def new_rows(
     df: DataFrame,
     id_col: str,
     vec: str,
@@ -90,16 +91,19 @@ def smote(
     seed: int = SEED,
     rare: int = 1,
 ) -> DataFrame:
-    """The rows of ``df`` and the new rows of the rare class, with ids below 0."""
-    counts = {bool(r["_rare"]): r["n"] for r in df.groupBy((F.col(target) == rare).alias("_rare")).agg(F.count("*").alias("n")).collect()}
-    n_minor, n_major = counts.get(True, 0), counts.get(False, 0)
+    """The new rows of the rare class, with ids below 0."""
+    is_rare = F.col(target) == rare
+    n_minor, n_major = df.agg(F.count_if(is_rare), F.count_if(~is_rare)).first()
     n_new = new_row_count(n_minor, n_major, ratio, k)
-    minor = df.filter(F.col(target) == rare)
-    made = synthetic_rows(minor, id_col, vec, n_new, n_minor, k, seed)
+    made = synthetic_rows(df.filter(is_rare), id_col, vec, n_new, n_minor, k, seed)
     types = dict(df.dtypes)
-    new = made.select(
+    return made.select(
         (-F.col("i") - 1).cast(types[id_col]).alias(id_col),
         F.lit(rare).cast(types[target]).alias(target),
         F.col(vec).cast(types[vec]).alias(vec),
     )
-    return df.select(id_col, target, vec).unionByName(new)
+
+
+def smote(df: DataFrame, id_col: str, vec: str, target: str, **options) -> DataFrame:
+    """The rows of ``df`` and the new rows of the rare class."""
+    return df.select(id_col, target, vec).unionByName(new_rows(df, id_col, vec, target, **options))

@@ -48,11 +48,11 @@ def metrics_of(scores: DataFrame, n_features: dict[str, int], key: str = KEY, ta
     )
 
 
-def thin_masks(sets: dict[str, FeatureSet], key: str = KEY) -> DataFrame:
-    """(key, feature_set, is_thin) by the rule of each feature set."""
+def thin_masks(sets: dict[str, FeatureSet], key: str = KEY, target: str = TARGET) -> DataFrame:
+    """(key, target, feature_set, is_thin) by the rule of each feature set."""
     masks = None
     for name, data in sets.items():
-        mask = mask_for(name, data.val, key, "features", data.features).withColumn("feature_set", F.lit(name))
+        mask = mask_for(name, data.val, key, "features", data.features, (target,)).withColumn("feature_set", F.lit(name))
         masks = mask if masks is None else masks.unionByName(mask)
     return masks
 
@@ -69,13 +69,13 @@ def impact_on_common_mask(
 def evaluate(prepared: Prepared, swept: models.Sweep, key: str = KEY, target: str = TARGET) -> Results:
     scores, sets = swept.scores, prepared.sets
     metrics = materialize(metrics_of(scores, {n: len(s.features) for n, s in sets.items()}, key, target), "metrics")
-    flagged = materialize(scores.join(thin_masks(sets, key), [key, "feature_set"]), "flagged")
-    one_model = flagged.select(key, target, "feature_set", "is_thin").distinct()
+    masks = materialize(thin_masks(sets, key, target), "masks")
+    flagged = scores.join(masks.drop(target), [key, "feature_set"])
     thin = materialize(slice_metrics(flagged, key, "score", target, "is_thin", EXPERIMENT), "thin")
     impact = materialize(impact_on_common_mask(scores, sets, key, target), "impact")
     return Results(
         metrics=metrics,
-        thin_profile=profile(one_model, "is_thin", target, ["feature_set"]),
+        thin_profile=profile(masks, "is_thin", target, ["feature_set"]),
         thin_metrics=thin,
         thin_gains=report.thin_family_gain(thin),
         impact=impact,

@@ -14,12 +14,12 @@ from lendlens.functions.numeric import quoted
 from lendlens.operators import encode, power, split
 from lendlens.operators.clean import clean
 from lendlens.operators.families import features_of
-from lendlens.operators.oversample import smote
+from lendlens.operators.oversample import new_rows
 from lendlens.operators.parallel import side_by_side
 from lendlens.operators.scale import Scaler, fit_scaler, scale_to_array, scaler_from_table
 from lendlens.plans.mart import KEY, TARGET
 from lendlens.session import materialize, work_dir
-from lendlens.sources.tables import _exists
+from lendlens.sources.tables import delete, exists
 
 
 @dataclass(frozen=True)
@@ -82,7 +82,8 @@ def prepare(
     inputs = basis.drop(key, target, "is_val")
     lambdas = power.fit_power(inputs)
     encodings = encode.fit_categories(inputs, string_columns(inputs))
-    encoded = materialize(transform(rows, lambdas, encodings), "encoded")
+    # from here on only row-by-row expressions: nothing wide is written before the sets themselves
+    encoded = transform(rows, lambdas, encodings)
     sets = features_of(encoded.columns, not_features=(key, target, "is_val"), **(families or {}))
     train_rows = encoded.filter(~F.col("is_val"))
     scaler = fit_scaler(train_rows, sets["all"])
@@ -91,11 +92,13 @@ def prepare(
         own = scaler.subset(sets[name])
         val = scale_to_array(encoded.filter("is_val"), own, [key, target])
         val.write.mode("overwrite").parquet(f"{path}/{name}/val")
-        train = materialize(scale_to_array(train_rows, own, [key, target]), "train")
-        smote(train, key, "features", target, ratio=ratio, seed=seed).write.mode("overwrite").parquet(
-            f"{path}/{name}/train"
-        )
+        scale_to_array(train_rows, own, [key, target]).write.mode("overwrite").parquet(f"{path}/{name}/train")
+        train = spark.read.parquet(f"{path}/{name}/train")
+        made = new_rows(train, key, "features", target, ratio=ratio, seed=seed)
+        made.write.mode("append").parquet(f"{path}/{name}/train")
 
+    # a half-written preparation must not look complete
+    delete(spark, f"{path}/params")
     side_by_side(spark, write_set, list(sets))
     params = Params(lambdas, encodings, scaler, sets)
     save_params(spark, params, f"{path}/params")
@@ -143,7 +146,7 @@ def load_or_prepare(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], reprocess: bool = False, **options
 ) -> Prepared:
     """Reuse what an earlier run prepared under ``path``, or build the mart and prepare it."""
-    if not reprocess and _exists(spark, f"{path}/params/sets/_SUCCESS"):
+    if not reprocess and exists(spark, f"{path}/params/sets/_SUCCESS"):
         return load_prepared(spark, path)
     return prepare(build(), path, **options)
 

@@ -49,10 +49,19 @@ def read_source(spark: SparkSession, path: str, schema: T.StructType | None = No
     return reader.schema(T.StructType(fields)).csv(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, files = _hadoop_path(spark, path)
+    return files.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, files = _hadoop_path(spark, path)
+    files.delete(target, True)
 
 
 def read_sources(
@@ -65,7 +74,7 @@ def read_sources(
     schemas = schemas or {}
     found = {}
     for name, path in paths.items():
-        if name in required or _exists(spark, path):
+        if name in required or exists(spark, path):
             found[name] = read_source(spark, path, schemas.get(name))
     for name in required:
         if name not in found:
