@@ -495,7 +495,7 @@ ORACLE["thin_file_metrics"] = f"""WITH {SLICES} SELECT {EXP}, {r('auc_thin_file'
   {r('acceptance_regular', 9)} AS acceptance_regular FROM sliced"""
 _WIDE = """wide AS (
   SELECT model_name, max({v}) FILTER (feature_set = 'all') AS a, max({v}) FILTER (feature_set = 'traditional') AS t,
-    max({v}) FILTER (feature_set = 'alternative') AS l FROM {src} GROUP BY model_name)"""
+    max({v}) FILTER (feature_set = 'alternative') AS l, list(feature_set) AS present FROM {src} GROUP BY model_name)"""
 ORACLE["thin_family_gain"] = f"""WITH {SLICES}, {_WIDE.format(v='auc_thin_file', src='sliced')}
 SELECT model_name, 'alternative_vs_traditional' AS comparison, {r('l - t', 9)} AS gain, 0::INTEGER AS same_rows FROM wide WHERE l - t IS NOT NULL
 UNION ALL SELECT model_name, 'all_vs_traditional', {r('a - t', 9)}, 1::INTEGER FROM wide WHERE a - t IS NOT NULL"""
@@ -506,12 +506,14 @@ IMPACT = f"""{SCORES}, edges AS (SELECT quantile_cont(trad, 0.2) AS low_trad FRO
 thin AS (SELECT s.* FROM scores s, edges WHERE trad < low_trad), {sql_auc('thin', EXP)},
 {_WIDE.format(v='auc', src='aucs')},
 impact AS (
-  SELECT model_name AS model, t AS auc_traditional, l AS auc_alternative, coalesce(a, 0) AS auc_all, l - t AS improvement,
-    (l - t) / nullif(t, 0) * 100 AS improvement_percent FROM wide WHERE t IS NOT NULL AND l IS NOT NULL)"""
+  SELECT model_name AS model, t AS auc_traditional, l AS auc_alternative,
+    CASE WHEN list_contains(present, 'all') THEN a ELSE 0 END AS auc_all, l - t AS improvement,
+    (l - t) / nullif(t, 0) * 100 AS improvement_percent
+  FROM wide WHERE list_contains(present, 'traditional') AND list_contains(present, 'alternative'))"""
 ORACLE["alternative_impact"] = f"WITH {IMPACT} SELECT model, " + ", ".join(
     f"{r(c, 9)} AS {c}" for c in ("auc_traditional", "auc_alternative", "auc_all", "improvement", "improvement_percent")
 ) + " FROM impact"
-ORACLE["impact_summary"] = f"""WITH {IMPACT}, best AS (SELECT model FROM impact ORDER BY improvement DESC, model LIMIT 1)
+ORACLE["impact_summary"] = f"""WITH {IMPACT}, best AS (SELECT model FROM impact ORDER BY improvement DESC NULLS LAST, model LIMIT 1)
 SELECT {r('avg(improvement)', 9)} AS mean_improvement, {r('max(improvement)', 9)} AS max_improvement,
   (SELECT model FROM best) AS best_model FROM impact"""
 ORACLE["family_difference"] = f"""WITH {METRICS}

@@ -66,13 +66,18 @@ def _of(feature_set: str, metric: str) -> Column:
     return F.max(F.when(F.col("feature_set") == feature_set, F.col(metric)))
 
 
+def _has(feature_set: str) -> Column:
+    return F.count_if(F.col("feature_set") == feature_set) > 0
+
+
 def family_difference(metrics: DataFrame) -> DataFrame:
     """Alternative minus traditional on all validation rows, for models that have both."""
     wide = metrics.groupBy("model_name").agg(
+        (_has("alternative") & _has("traditional")).alias("_both"),
         (_of("alternative", "auc_score") - _of("traditional", "auc_score")).alias("auc_difference"),
         (_of("alternative", "acceptance_rate") - _of("traditional", "acceptance_rate")).alias("acceptance_difference"),
     )
-    return wide.filter("auc_difference IS NOT NULL")
+    return wide.filter("_both").drop("_both")
 
 
 def thin_family_gain(thin: DataFrame) -> DataFrame:
@@ -100,16 +105,21 @@ def thin_family_gain(thin: DataFrame) -> DataFrame:
 def alternative_impact(slice_auc: DataFrame) -> DataFrame:
     """Family against family on one common thin-file mask; input (model_name, feature_set, auc).
 
-    Models without both families are left out, a missing 'all' counts 0.
+    Models without both families are left out, a missing 'all' counts 0. An AUC that does not exist
+    (one class among the thin files) stays NULL.
     """
-    wide = slice_auc.groupBy("model_name").agg(*[_of(s, "auc").alias(f"auc_{s}") for s in FEATURE_SETS])
-    both = wide.filter("auc_traditional IS NOT NULL AND auc_alternative IS NOT NULL")
+    wide = slice_auc.groupBy("model_name").agg(
+        (_has("alternative") & _has("traditional")).alias("_both"),
+        _has("all").alias("_has_all"),
+        *[_of(s, "auc").alias(f"auc_{s}") for s in FEATURE_SETS],
+    )
+    both = wide.filter("_both")
     improvement = F.col("auc_alternative") - F.col("auc_traditional")
     return both.select(
         F.col("model_name").alias("model"),
         "auc_traditional",
         "auc_alternative",
-        F.coalesce("auc_all", F.lit(0.0)).alias("auc_all"),
+        F.when(F.col("_has_all"), F.col("auc_all")).otherwise(F.lit(0.0)).alias("auc_all"),
         improvement.alias("improvement"),
         (F.try_divide(improvement, F.col("auc_traditional")) * 100).alias("improvement_percent"),
     )
