@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from entrypoint import tables as t
 from lendlens.functions import hashed_uniform, yeo_johnson
-from lendlens.functions.numeric import quoted
+from lendlens.functions.numeric import quoted, sql_name
 from lendlens.operators import encode, families, metrics, models, ordered, power, report, rollup, scale, split, thinfile
 from lendlens.operators.clean import clean, derive
 from lendlens.operators.neighbors import neighbors
@@ -35,13 +35,13 @@ def r(value: Column | str, places: int = 6) -> Column:
 
 
 def rounded(df: DataFrame, places: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Every double column rounded."""
-    return df.select(
-        *[
-            r(quoted(n), places).alias(n) if kind == "double" and n not in keep else quoted(n)
-            for n, kind in df.dtypes
-        ]
-    )
+    """Every double column rounded as by ``r``."""
+    out = []
+    for n, kind in df.dtypes:
+        name = sql_name(n)
+        rounds = kind == "double" and n not in keep
+        out.append(f"round({name} + {float(f'3.7e-{places + 2}')!r}D, {places}) + 0D AS {name}" if rounds else name)
+    return df.selectExpr(*out)
 
 
 # ---- roll-ups and the mart -------------------------------------------------------------------
@@ -143,8 +143,9 @@ def skew_profile(spark, d):
 def yeo_johnson_grid(spark, d):
     lines = t.read(spark, d, "lineitem").select("l_extendedprice", "l_quantity")
     grid = power.even_grid(-1.0, 2.0)
-    table = power.likelihood_grid(lines, lines.columns, {c: grid for c in lines.columns})
-    return table.select("column", r("lambda", 4).alias("lambda"), r("loglik", 2).alias("loglik"))
+    table = power.likelihood_grid(power.signed_logs(lines, lines.columns), {0: grid, 1: grid})
+    name = F.when(F.col("c") == 0, lines.columns[0]).otherwise(lines.columns[1])
+    return table.select(name.alias("column"), r("lambda", 4).alias("lambda"), r("loglik", 2).alias("loglik"))
 
 
 @query
@@ -493,12 +494,16 @@ def avg_by_feature_set(spark, d):
     return rounded(report.averages(_fixed_metrics(spark, d)), 9)
 
 
+def _both_metrics(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Metrics on all rows and per slice, from scores written once."""
+    flagged = _flagged(spark, d)
+    overall = experiments.metrics_of(flagged, {"all": 2, "traditional": 1, "alternative": 1})
+    return overall, thinfile.slice_metrics(flagged, KEY, "score", TARGET, "is_thin", EXPERIMENT)
+
+
 @query
 def model_report(spark, d):
-    flagged = _flagged(spark, d)
-    table = experiments.metrics_of(flagged, {"all": 2, "traditional": 1, "alternative": 1})
-    thin = thinfile.slice_metrics(flagged, KEY, "score", TARGET, "is_thin", EXPERIMENT)
-    return rounded(report.consolidated(table, thin), 9)
+    return rounded(report.consolidated(*_both_metrics(spark, d)), 9)
 
 
 @query
@@ -514,16 +519,17 @@ def top5_models(spark, d):
 @query
 def best_configuration(spark, d):
     """Best experiment on all rows and best on thin files."""
-    overall = report.best(_fixed_metrics(spark, d)).select(
+    overall, thin = _both_metrics(spark, d)
+    first = report.best(overall).select(
         F.lit("overall").alias("scope"), *EXPERIMENT, F.col("auc_score").alias("auc"), "acceptance_rate"
     )
-    thin = report.best(_thin_metrics(spark, d), "auc_thin_file").select(
+    second = report.best(thin, "auc_thin_file").select(
         F.lit("thin_file").alias("scope"),
         *EXPERIMENT,
         F.col("auc_thin_file").alias("auc"),
         F.col("acceptance_thin_file").alias("acceptance_rate"),
     )
-    return rounded(overall.unionByName(thin), 9)
+    return rounded(first.unionByName(second), 9)
 
 
 # ---- prepared sets, models, experiments ------------------------------------------------------

@@ -19,9 +19,18 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def sql_name(name: str) -> str:
+    """A column name inside a SQL expression: encoded names may hold dots, spaces and slashes."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_double(value: float) -> str:
+    return f"({float(value)!r}D)"
+
+
 def quoted(name: str) -> Column:
-    """A column by its exact name: encoded names may hold dots, spaces and slashes."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A column by its exact name."""
+    return F.col(sql_name(name))
 
 
 def safe_ratio(num: Column, den: Column, offset: float = 0.0) -> Column:
@@ -55,15 +64,20 @@ def row_stats(cols: list[Column]) -> dict[str, Column]:
 
 
 def yeo_johnson(x: Column, lam: Column) -> Column:
-    """Yeo-Johnson power transform (Yeo and Johnson 2000) for a given lambda.
+    """Yeo-Johnson power transform (Yeo and Johnson 2000) for a given lambda."""
+    return yeo_johnson_of_log(F.signum(x) * F.log1p(F.abs(x)), lam)
+
+
+def yeo_johnson_of_log(g: Column, lam: Column) -> Column:
+    """The transform from g = sign(x) * log(1 + |x|).
 
-    ((x+1)^lambda - 1) / lambda as expm1(lambda * log1p(x)) / lambda, which keeps its digits near 0.
+    ((x+1)^lambda - 1) / lambda is expm1(lambda * g) / lambda, which keeps its digits near lambda 0.
     """
 
     def power(log_value: Column, exponent: Column) -> Column:
         return F.when(exponent == 0.0, log_value).otherwise(F.try_divide(F.expm1(exponent * log_value), exponent))
 
-    return F.when(x >= 0, power(F.log1p(x), lam)).when(x < 0, -power(F.log1p(-x), F.lit(2.0) - lam))
+    return F.when(g >= 0, power(g, lam)).when(g < 0, -power(-g, F.lit(2.0) - lam))
 
 
 def _md5(key: Column, seed: int | str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendlens.functions import row_stats, safe_ratio, years
-from lendlens.functions.numeric import quoted
+from lendlens.functions.numeric import sql_name
 
 EXTERNAL_SCORES = ("EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3")
 
@@ -41,16 +41,17 @@ def clean(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Infinity, NaN and NULL become 0; in text columns NULL becomes the category '0'."""
     out = []
     for field in df.schema.fields:
-        col = quoted(field.name)
+        name = sql_name(field.name)
         if field.name in keep:
-            out.append(col)
+            out.append(name)
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            bad = F.isnan(col) | (F.abs(col) == float("inf"))
-            out.append(F.coalesce(F.when(~bad, col), F.lit(0.0)).alias(field.name))
+            # NaN and infinity are not below infinity, and NULL compares as unknown
+            finite = f"abs({name}) < double('Infinity')"
+            out.append(f"CASE WHEN {finite} THEN {name} ELSE 0D END AS {name}")
         elif isinstance(field.dataType, T.NumericType):
-            out.append(F.coalesce(col, F.lit(0).cast(field.dataType)).alias(field.name))
+            out.append(f"coalesce({name}, CAST(0 AS {field.dataType.simpleString()})) AS {name}")
         elif isinstance(field.dataType, T.StringType):
-            out.append(F.coalesce(col, F.lit("0")).alias(field.name))
+            out.append(f"coalesce({name}, '0') AS {name}")
         else:
-            out.append(col)
-    return df.select(*out)
+            out.append(name)
+    return df.selectExpr(*out)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlens.functions import string_columns
-from lendlens.functions.numeric import quoted
+from lendlens.functions.numeric import quoted, sql_name
 
 TOP = 5
 
@@ -76,19 +76,22 @@ def apply_categories(df: DataFrame, encodings: list[Encoding]) -> DataFrame:
     """
     labels = {e.column: e for e in encodings if e.kind == "label"}
     onehot = {e.column: e for e in encodings if e.kind == "onehot"}
+
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
     out = []
     for c in df.columns:
+        name = sql_name(c)
         if c in labels:
-            code = F.lit(0)
-            for i, v in enumerate(labels[c].values):
-                code = F.when(F.coalesce(quoted(c), F.lit("0")) == F.lit(v), F.lit(i)).otherwise(code)
-            out.append(code.alias(c))
+            cases = " ".join(f"WHEN {text(v)} THEN {i}" for i, v in enumerate(labels[c].values))
+            out.append(f"CASE coalesce({name}, '0') {cases} ELSE 0 END AS {name}")
         elif c not in onehot:
-            out.append(quoted(c))
+            out.append(name)
     for e in onehot.values():
-        filled = F.coalesce(quoted(e.column), F.lit("0"))
-        out.extend((filled == F.lit(v)).cast("int").alias(name) for v, name in zip(e.values, e.outputs))
-    return df.select(*out)
+        filled = f"coalesce({sql_name(e.column)}, '0')"
+        out.extend(f"int({filled} = {text(v)}) AS {sql_name(n)}" for v, n in zip(e.values, e.outputs))
+    return df.selectExpr(*out)
 
 
 def to_table(spark, encodings: list[Encoding]) -> DataFrame:

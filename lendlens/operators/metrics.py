@@ -55,24 +55,35 @@ def acceptance_curve(df: DataFrame, id_col: str, score: str, label: str, by: lis
 
 
 def _candidates(score: str, target: float) -> list[Column]:
-    """The last cut that keeps the bad rate, and the cut at the best tenth for when there is none."""
-    point = F.struct("n", score, "bad_rate")
-    tenth = F.greatest(F.lit(1), F.floor(F.lit(FALLBACK_SHARE) * F.col("n_all")))
-    return [
-        F.max("n_all").alias("n_all"),
-        F.max(F.when(F.col("bad_rate") <= target, point)).alias("_best"),
-        F.min(F.when(F.col("n") >= tenth, point)).alias("_few"),
+    """The last cut that keeps the bad rate, and the cut at the best tenth for when there is none.
+
+    ``n``, ``bad`` and score all rise along the sort, so the three extremes belong to one row; as plain
+    numbers they are hash-aggregated without another sort.
+    """
+    qualifies = F.col("bad") / F.col("n") <= target
+    tenth = F.col("n") >= F.greatest(F.lit(1), F.floor(F.lit(FALLBACK_SHARE) * F.col("n_all")))
+    return [F.max("n_all").alias("n_all")] + [
+        agg(F.when(condition, F.col(value))).alias(f"{name}_{place}")
+        for name, agg, condition in (("_best", F.max, qualifies), ("_few", F.min, tenth))
+        for place, value in (("n", "n"), ("bad", "bad"), ("score", score))
     ]
 
 
-def _chosen(score: str) -> list[Column]:
-    chosen = F.coalesce("_best", "_few")
+def _widest(names: list[str]) -> list[Column]:
+    return [(F.max(n) if n.startswith("_best") else F.min(n)).alias(n) for n in names]
+
+
+CUT_COLUMNS = [f"{name}_{place}" for name in ("_best", "_few") for place in ("n", "bad", "score")]
+
+
+def _chosen() -> list[Column]:
+    n, bad, score = (F.coalesce(f"_best_{p}", f"_few_{p}") for p in ("n", "bad", "score"))
     return [
-        chosen["n"].alias("n_accepted"),
-        (chosen["n"] / F.col("n_all")).alias("acceptance_rate"),
-        F.when(F.col("_best.n") == F.col("n_all"), F.lit(1.0)).otherwise(chosen[score]).alias("threshold"),
-        chosen["bad_rate"].alias("actual_bad_rate"),
-        F.col("_best").isNull().alias("is_fallback"),
+        n.alias("n_accepted"),
+        (n / F.col("n_all")).alias("acceptance_rate"),
+        F.when(F.col("_best_n") == F.col("n_all"), F.lit(1.0)).otherwise(score).alias("threshold"),
+        (bad / n).alias("actual_bad_rate"),
+        F.col("_best_n").isNull().alias("is_fallback"),
     ]
 
 
@@ -94,13 +105,12 @@ def acceptance(
     by = by or []
     curve = acceptance_curve(df, id_col, score, label, by)
     if tie == "whole":
-        ends = curve.groupBy(*by, score).agg(
+        curve = curve.groupBy(*by, score).agg(
             F.max("n").alias("n"), F.max("bad").alias("bad"), F.max("n_all").alias("n_all")
         )
-        curve = ends.withColumn("bad_rate", F.col("bad") / F.col("n"))
     elif tie != "cut":
         raise ValueError(f"tie must be 'cut' or 'whole', not {tie!r}")
-    return curve.groupBy(*by).agg(*_candidates(score, target)).select(*by, "n_all", *_chosen(score))
+    return curve.groupBy(*by).agg(*_candidates(score, target)).select(*by, "n_all", *_chosen())
 
 
 def experiment_metrics(
@@ -117,15 +127,14 @@ def experiment_metrics(
     )
     whole = per_score.groupBy(*by).agg(
         F.max("n_all").alias("n_all"),
-        F.max("_best").alias("_best"),
-        F.min("_few").alias("_few"),
+        *_widest(CUT_COLUMNS),
         F.sum("_pos").alias("n_pos"),
         F.sum("_neg").alias("n_neg"),
         F.sum(F.col("_pos").cast("double") * (F.col("_neg_upto") - F.col("_neg") / 2)).alias("_wins"),
     )
     pairs = F.col("n_pos").cast("double") * F.col("n_neg")
     return whole.select(
-        *by, "n_pos", "n_neg", F.try_divide("_wins", pairs).alias("auc"), "n_all", *_chosen(score)
+        *by, "n_pos", "n_neg", F.try_divide("_wins", pairs).alias("auc"), "n_all", *_chosen()
     )
 
 

@@ -111,8 +111,8 @@ class Fitted:
     threshold: float = 0.5
 
 
-# a train partition below this size is merged with others: boosting runs hundreds of short jobs
-PARTITION_BYTES = 8 * 1024 * 1024
+# train partitions below this size are merged: boosting runs hundreds of short jobs
+PARTITION_BYTES = 1024 * 1024
 
 
 def _packed(df: DataFrame, vec: str) -> DataFrame:

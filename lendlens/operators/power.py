@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.functions import numeric_columns, yeo_johnson
-from lendlens.functions.numeric import quoted
+from lendlens.functions.numeric import quoted, sql_name, yeo_johnson_of_log
 
 # Columns that are candidates by name, next to every column whose name contains AMT_
 CANDIDATE_NAMES = (
@@ -35,8 +35,8 @@ def candidates(df: DataFrame) -> list[str]:
 def long_form(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, value) rows of numeric columns: one set of expressions serves every column, so the plan
     does not grow with their number."""
-    wide = df.select(*[quoted(c).cast("double").alias(c) for c in cols])
-    return wide.unpivot([], [quoted(c) for c in cols], "column", "value")
+    wide = df.selectExpr(*[f"double({sql_name(c)}) AS {sql_name(c)}" for c in cols])
+    return wide.unpivot([], [sql_name(c) for c in cols], "column", "value")
 
 
 def skew_table(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -62,24 +62,29 @@ def skewed_columns(df: DataFrame, cols: list[str], limit: float = SKEW_LIMIT) ->
     return [c for c in cols if c in chosen]
 
 
-def likelihood_grid(df: DataFrame, cols: list[str], grids: dict[str, list[float]]) -> DataFrame:
-    """Log-likelihood of each column's lambda grid in one pass over the data: (column, lambda, loglik).
+def signed_logs(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(c, g) rows: the place of the column and sign(x) * log(1 + |x|), from which every power follows."""
+    at = F.create_map(*[v for i, c in enumerate(cols) for v in (F.lit(c), F.lit(i))])
+    rows = long_form(df, cols).filter("value IS NOT NULL")
+    return rows.select(at[F.col("column")].alias("c"), (F.signum("value") * F.log1p(F.abs("value"))).alias("g"))
+
+
+def likelihood_grid(logs: DataFrame, grids: dict[int, list[float]]) -> DataFrame:
+    """Log-likelihood of each column's lambda grid in one pass over ``signed_logs``: (c, lambda, loglik).
 
     Every value meets the grid of its column; the variances are added up per task before the shuffle,
     which moves one row per task, column and lambda.
     """
-    places = {c: i for i, c in enumerate(cols)}
-    grid_of = F.array(*[F.array(*[F.lit(float(v)) for v in grids[c]]) for c in cols])
-    at = F.create_map(*[v for c, i in places.items() for v in (F.lit(c), F.lit(i))])
-    jacobian = F.signum("value") * F.log1p(F.abs("value"))
-    rows = long_form(df, cols).filter("value IS NOT NULL").select(at[F.col("column")].alias("c"), "value")
-    met = rows.select("c", "value", F.explode(F.get(grid_of, F.col("c"))).alias("lam"))
+    grid_of = F.array(*[F.array(*[F.lit(float(v)) for v in grids.get(c, [])]) for c in range(max(grids) + 1)])
+    met = logs.select("c", "g", F.explode(F.get(grid_of, F.col("c"))).alias("lam"))
     sums = met.groupBy("c", "lam").agg(
-        F.count("*").alias("_n"), F.sum(jacobian).alias("_jacobian"), F.var_pop(yeo_johnson(F.col("value"), F.col("lam"))).alias("_v")
+        F.count("*").alias("_n"),
+        F.sum("g").alias("_jacobian"),
+        F.var_pop(yeo_johnson_of_log(F.col("g"), F.col("lam"))).alias("_v"),
     )
     usable = (F.col("_v") > 0) & ~F.isnan("_v") & (F.abs("_v") != float("inf"))
     return sums.select(
-        F.get(F.array(*[F.lit(c) for c in cols]), F.col("c")).alias("column"),
+        "c",
         F.col("lam").alias("lambda"),
         # a lambda that overflows has no likelihood and is never chosen
         F.when(usable, -F.col("_n") / 2 * F.log("_v") + (F.col("lam") - 1) * F.col("_jacobian")).alias("loglik"),
@@ -96,16 +101,16 @@ def fit_lambdas(df: DataFrame, cols: list[str]) -> dict[str, float]:
     Each pass narrows the interval tenfold around the best point; a best point at an end moves and
     widens the interval instead, as the search range is not bounded.
     """
-    best: dict[str, float] = {}
-    bounds = {c: GRID_START for c in cols}
     if not cols:
-        return best
+        return {}
+    best: dict[int, float] = {}
+    bounds = {c: GRID_START for c in range(len(cols))}
     # stays in memory or on local disk between the passes; a lost part is recomputed from the mart
-    data = df.select(*[quoted(c) for c in cols]).persist()
+    logs = signed_logs(df, cols).persist()
     try:
         for _ in range(MAX_PASSES):
             grids = {c: even_grid(*b) for c, b in bounds.items()}
-            top = _best_points(likelihood_grid(data, list(grids), grids))
+            top = _best_points(likelihood_grid(logs, grids))
             following = {}
             for c in grids:
                 if c not in top:
@@ -121,14 +126,14 @@ def fit_lambdas(df: DataFrame, cols: list[str]) -> dict[str, float]:
             if not bounds:
                 break
     finally:
-        data.unpersist()
-    return best
+        logs.unpersist()
+    return {cols[c]: lam for c, lam in sorted(best.items())}
 
 
-def _best_points(grid: DataFrame) -> dict[str, float]:
+def _best_points(grid: DataFrame) -> dict[int, float]:
     """One row per column and grid place comes to the driver; the flatter lambda wins a tie."""
     rows = sorted(grid.filter("loglik IS NOT NULL").collect(), key=lambda r: (r["loglik"], -abs(r["lambda"])))
-    return {r["column"]: r["lambda"] for r in rows}
+    return {r["c"]: r["lambda"] for r in rows}
 
 
 def fit_power(df: DataFrame, cols: list[str] | None = None, limit: float = SKEW_LIMIT) -> dict[str, float]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.functions import numeric_columns, safe_ratio
-from lendlens.functions.numeric import quoted
+from lendlens.functions.numeric import sql_name
 
 
 def status_rollup(
@@ -33,10 +33,12 @@ def rollup_numeric(df: DataFrame, key: str, prefix: str, exclude: tuple[str, ...
     the shuffle, so a key with very many rows sends one row per task.
     """
     columns = [c for c in numeric_columns(df) if c != key and c not in exclude]
-    aggregates = []
-    for c in columns:
-        for suffix, fn in (("mean", F.avg), ("max", F.max), ("min", F.min)):
-            aggregates.append(F.coalesce(fn(quoted(c)).cast("double"), F.lit(0.0)).alias(f"{prefix}_{c}_{suffix}"))
+    # one expression string per output: hundreds of columns are named without hundreds of gateway calls each
+    aggregates = [
+        F.expr(f"coalesce(double({fn}({sql_name(c)})), 0D) AS {sql_name(f'{prefix}_{c}_{suffix}')}")
+        for c in columns
+        for suffix, fn in (("mean", "avg"), ("max", "max"), ("min", "min"))
+    ]
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggregates)
 
 

@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlens.functions.numeric import quoted
+from lendlens.functions.numeric import sql_double, sql_name
 
 EPS = 2.220446049250313e-16
 
@@ -54,7 +54,7 @@ def _fit(vectors: DataFrame, names: list[str]) -> Scaler:
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> Scaler:
-    renamed = df.select(*[quoted(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    renamed = df.selectExpr(*[f"double({sql_name(c)}) AS c{i}" for i, c in enumerate(cols)])
     assembled = VectorAssembler(inputCols=renamed.columns, outputCol="_v").transform(renamed)
     return _fit(assembled.select("_v"), cols)
 
@@ -65,25 +65,23 @@ def fit_vector_scaler(df: DataFrame, vec: str, size: int) -> Scaler:
     return _fit(vectors, [str(i) for i in range(size)])
 
 
-def scaled(value: Column, mean: float, std: float) -> Column:
-    return (value - F.lit(mean)) / F.lit(std if std > 0 else 1.0)
+def _scaled(value: str, mean: float, std: float) -> str:
+    return f"(double({value}) - {sql_double(mean)}) / {sql_double(std if std > 0 else 1.0)}"
 
 
 def scale_columns(df: DataFrame, scaler: Scaler) -> DataFrame:
-    return df.withColumns(
-        {n: scaled(quoted(n).cast("double"), m, s) for n, m, s in zip(scaler.names, scaler.means, scaler.stds)}
+    stats = {n: (m, s) for n, m, s in zip(scaler.names, scaler.means, scaler.stds)}
+    return df.selectExpr(
+        *[f"{_scaled(sql_name(c), *stats[c])} AS {sql_name(c)}" if c in stats else sql_name(c) for c in df.columns]
     )
 
 
 def scale_to_array(df: DataFrame, scaler: Scaler, keep: list[str], out: str = "features") -> DataFrame:
     """Kept columns plus one array with all scaled features: narrow rows, whatever the number of features."""
-    parts = [scaled(quoted(n).cast("double"), m, s) for n, m, s in zip(scaler.names, scaler.means, scaler.stds)]
-    return df.select(*keep, F.array(*parts).alias(out))
+    parts = [_scaled(sql_name(n), m, s) for n, m, s in zip(scaler.names, scaler.means, scaler.stds)]
+    return df.select(*keep, F.expr(f"array({', '.join(parts)})").alias(out))
 
 
 def scale_vector(df: DataFrame, vec: str, scaler: Scaler, out: str = "features") -> DataFrame:
-    parts = [
-        scaled(F.get(F.col(vec), F.lit(i)).cast("double"), m, s)
-        for i, (m, s) in enumerate(zip(scaler.means, scaler.stds))
-    ]
-    return df.withColumn(out, F.array(*parts))
+    parts = [_scaled(f"get({sql_name(vec)}, {i})", m, s) for i, (m, s) in enumerate(zip(scaler.means, scaler.stds))]
+    return df.withColumn(out, F.expr(f"array({', '.join(parts)})"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendlens.functions.numeric import sql_name
+
 # The seven source names, and the columns the feature code names (other columns are
 # read as they come)
 APPLICATION = "application"
@@ -84,8 +85,12 @@ def read_sources(
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """avg and max keep NaN, the semantics wanted is to skip it: make it NULL at the scan."""
-    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floats})
+    out = []
+    for f in df.schema.fields:
+        name = sql_name(f.name)
+        is_float = isinstance(f.dataType, (T.DoubleType, T.FloatType))
+        out.append(f"nullif(double({name}), double('NaN')) AS {name}" if is_float else name)
+    return df.selectExpr(*out)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

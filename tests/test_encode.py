@@ -25,6 +25,14 @@ def test_fit_and_apply(spark):
     assert [r["KIND_a"] for r in rows] == [1, 0, 0, 1, 0, 0] and [r["KIND_0"] for r in rows] == [0, 0, 1, 0, 0, 0]
 
 
+def test_quotes_and_backslashes(spark):
+    values = ["it's", "a\\b", 'q"q', "`t`"]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    out = encode.apply_categories(df, encode.fit_categories(df))
+    assert sorted(out.columns) == sorted(f"x_{v}" for v in values)
+    assert all(sum(r) == 1 for r in out.collect())
+
+
 def test_ties_by_value_and_limit(spark):
     df = spark.createDataFrame([(v,) for v in "gfedcba"], "x string")
     assert encode.fit_categories(df)[0].values == ("a", "b", "c", "d", "e")

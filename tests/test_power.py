@@ -28,7 +28,8 @@ def test_candidates_by_name_and_type(spark):
 
 def test_grid_and_fit(spark):
     df = frame(spark)
-    grid = {r["lambda"]: r["loglik"] for r in power.likelihood_grid(df, ["AMT_A"], {"AMT_A": power.even_grid(-2, 2)}).collect()}
+    logs = power.signed_logs(df, ["AMT_A"])
+    grid = {r["lambda"]: r["loglik"] for r in power.likelihood_grid(logs, {0: power.even_grid(-2, 2)}).collect()}
     best = max(grid, key=grid.get)
     assert best == pytest.approx(-0.2) and grid[best] == pytest.approx(-12.017760, abs=1e-6)
     lam = power.fit_power(df)
@@ -40,7 +41,7 @@ def test_fit_leaves_the_first_interval(spark):
     x = 100.0 - np.random.default_rng(1).exponential(3.0, 400)
     df = spark.createDataFrame([(float(v),) for v in x], "AMT_B double")
     lam = power.fit_lambdas(df, ["AMT_B"])["AMT_B"]
-    near = power.likelihood_grid(df, ["AMT_B"], {"AMT_B": [lam - 0.01, lam, lam + 0.01]}).collect()
+    near = power.likelihood_grid(power.signed_logs(df, ["AMT_B"]), {0: [lam - 0.01, lam, lam + 0.01]}).collect()
     assert lam > 2 and max(near, key=lambda r: r["loglik"])["lambda"] == lam
 
 
