@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.functions import numeric_columns, yeo_johnson
-from lendlens.functions.numeric import quoted, sql_name, yeo_johnson_of_log
+from lendlens.functions.numeric import quoted, sql_double, sql_name, yeo_johnson_of_log
 
 # Columns that are candidates by name, next to every column whose name contains AMT_
 CANDIDATE_NAMES = (
@@ -75,7 +75,9 @@ def likelihood_grid(logs: DataFrame, grids: dict[int, list[float]]) -> DataFrame
     Every value meets the grid of its column; the variances are added up per task before the shuffle,
     which moves one row per task, column and lambda.
     """
-    grid_of = F.array(*[F.array(*[F.lit(float(v)) for v in grids.get(c, [])]) for c in range(max(grids) + 1)])
+    # a column that is no longer searched has an empty grid and drops out
+    lists = [f"array({', '.join(map(sql_double, grids[c]))})" if c in grids else "array()" for c in range(max(grids) + 1)]
+    grid_of = F.expr(f"cast(array({', '.join(lists)}) AS array<array<double>>)")
     met = logs.select("c", "g", F.explode(F.get(grid_of, F.col("c"))).alias("lam"))
     sums = met.groupBy("c", "lam").agg(
         F.count("*").alias("_n"),
