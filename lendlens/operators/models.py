@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -42,6 +44,7 @@ MODEL_NAMES = (
     "SVM",
 )
 QUICK_MODELS = ("LightGBM", "Random_Forest", "Logistic_Regression")
+BOOSTED = ("Gradient_Boosting", "LightGBM")
 
 
 def select_models(selection: str | None = None) -> list[str]:
@@ -217,31 +220,36 @@ def sweep(
 ) -> Sweep:
     """Fit every model on every feature set and score its validation rows.
 
-    A failing fit becomes a row of ``errors`` and does not stop the others. Train rows are cached once per
-    feature set; validation rows are read once per feature set for all models together. ``parallelism``
-    fits run side by side.
+    A failing fit becomes a row of ``errors`` and does not stop the others. ``parallelism`` fits run side by
+    side, set after set; the train rows of a set stay cached from its first fit to its last. Validation
+    rows are read once per feature set for all models together.
     """
     spark = next(iter(feature_sets.values())).train.sparkSession
     work_dir(spark)
-    outcomes: dict[tuple[str, str], tuple[Fitted | None, str]] = {}
-    for set_name, data in feature_sets.items():
-        ready = with_vector(_packed(data.train, "features"), "features", label).persist()
+    # persist() only marks the rows, the first fit of a set fills the cache
+    ready = {n: with_vector(_packed(d.train, "features"), "features", label).persist() for n, d in feature_sets.items()}
+    sizes = {n: d.train.count() for n, d in feature_sets.items()}
+    # the long fits of a set start first
+    tasks = [(m, s) for s in feature_sets for m in sorted(models, key=lambda m: m not in BOOSTED)]
+    left = Counter(set_name for _, set_name in tasks)
+    lock = Lock()
+
+    def one(task: tuple[str, str]) -> tuple[Fitted | None, str]:
+        name, set_name = task
         try:
-            n_rows = ready.count()
-
-            def one(name: str, set_name: str = set_name, ready: DataFrame = ready, n_rows: int = n_rows):
-                try:
-                    fitted = fit_prepared(name, ready, label, n_rows, settings)
-                    if save_to:
-                        save(spark, fitted, f"{save_to}/{name}_{set_name}")
-                    return fitted, ""
-                except Exception as problem:  # noqa: BLE001 - reported as a result row
-                    return None, str(problem)[:500]
-
-            done = side_by_side(spark, one, models, parallelism)
-            outcomes.update({(name, set_name): outcome for name, outcome in zip(models, done)})
+            fitted = fit_prepared(name, ready[set_name], label, sizes[set_name], settings)
+            if save_to:
+                save(spark, fitted, f"{save_to}/{name}_{set_name}")
+            return fitted, ""
+        except Exception as problem:  # noqa: BLE001 - reported as a result row
+            return None, str(problem)[:500]
         finally:
-            ready.unpersist()
+            with lock:
+                left[set_name] -= 1
+                if left[set_name] == 0:
+                    ready[set_name].unpersist()
+
+    outcomes = dict(zip(tasks, side_by_side(spark, one, tasks, parallelism)))
 
     kept = {task: fitted for task, (fitted, _) in outcomes.items() if fitted is not None}
     errors = [(*task, problem) for task, (fitted, problem) in outcomes.items() if fitted is None]

@@ -19,10 +19,8 @@ def running_totals(df: DataFrame, order: list[str], totals: list[str], by: list[
     """Adds, for each column t of ``totals``, ``cum_t`` (inclusive running sum in ascending ``order``)
     and ``all_t`` (sum over the whole group). ``by`` columns and ``order`` columns must not be null."""
     by = by or []
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = materialize(
-        df.repartitionByRange(parts, *by, *order).withColumn("_range", F.spark_partition_id()), "ranges"
-    )
+    # no fixed number: adjacent small ranges are merged by their measured size, which keeps their order
+    placed = materialize(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()), "ranges")
     per_range = placed.groupBy(*by, "_range").agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
     # at most one row per range and group
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
