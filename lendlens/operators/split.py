@@ -32,33 +32,35 @@ def train_quotas(counts: dict[int, int], test: float = TEST_SHARE) -> dict[int,
     return quotas
 
 
-def _cut_points(df: DataFrame, id_col: str, target: str, counts: dict[int, int], quotas: dict[int, int], seed: int):
-    """Per class the hash and id of the last train row in hash order.
+def _order(id_col: str, seed: int) -> Column:
+    return hashed_order(F.coalesce(F.col(id_col).cast("string"), F.lit("")), seed)
 
-    Rows are counted per hash prefix, which tells the prefix the cut lies in; only its rows are ranked.
+
+def _cut_points(df: DataFrame, id_col: str, target: str, quotas: dict[int, int], n_rows: int, seed: int) -> dict[int, str]:
+    """Per class the hash of the last train row in hash order.
+
+    Rows are counted per hash prefix, which tells the prefix the cut lies in; only the hashes inside it
+    are put in order, and copies of one id are counted before that.
     """
-    digits = max(1, math.ceil(math.log(max(max(counts.values()) / ROWS_PER_PREFIX, 1), 16)))
-    hashed = df.select(target, id_col, hashed_order(F.col(id_col), seed).alias("_h"))
-    hashed = hashed.withColumn("_p", F.substring("_h", 1, digits))
-    per_prefix = hashed.groupBy(target, "_p").agg(F.count("*").alias("_c"))
+    digits = max(1, math.ceil(math.log(max(n_rows / ROWS_PER_PREFIX, 1), 16)))
+    hashed = df.select(F.col(target), _order(id_col, seed).alias("_h")).withColumn("_p", F.substring("_h", 1, digits))
     wanted = F.create_map(*[F.lit(v) for pair in quotas.items() for v in pair])[F.col(target)]
-    upto = Window.partitionBy(target).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    holding = (
-        per_prefix.withColumn("_cum", F.sum("_c").over(upto))
-        .filter((F.col("_cum") >= wanted) & (F.col("_cum") - F.col("_c") < wanted))
-        .select(target, "_p", (wanted - (F.col("_cum") - F.col("_c"))).alias("_need"))
-        .collect()
-    )
-    if not holding:
+
+    def holding(counts: DataFrame, place: str, need: Column) -> DataFrame:
+        """The place in which the running count reaches what is needed, and what is needed inside it."""
+        upto = Window.partitionBy(target).orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        run = counts.withColumn("_need", need).withColumn("_cum", F.sum("_c").over(upto))
+        reached = (F.col("_cum") >= F.col("_need")) & (F.col("_cum") - F.col("_c") < F.col("_need"))
+        return run.filter(reached).select(target, place, (F.col("_need") - F.col("_cum") + F.col("_c")).alias("_need"))
+
+    per_prefix = hashed.groupBy(target, "_p").agg(F.count("*").alias("_c"))
+    prefixes = holding(per_prefix, "_p", wanted).collect()
+    if not prefixes:
         return {}
-    inside = reduce(
-        lambda a, b: a | b, [(F.col(target) == r[target]) & (F.col("_p") == r["_p"]) for r in holding]
-    )
-    need = F.create_map(*[F.lit(v) for r in holding for v in (r[target], r["_need"])])[F.col(target)]
-    ranked = hashed.filter(inside).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(target).orderBy("_h", id_col))
-    )
-    return {r[target]: (r["_h"], r[id_col]) for r in ranked.filter(F.col("_rank") == need).collect()}
+    inside = reduce(lambda a, b: a | b, [(F.col(target) == r[target]) & (F.col("_p") == r["_p"]) for r in prefixes])
+    need = F.create_map(*[F.lit(v) for r in prefixes for v in (r[target], r["_need"])])[F.col(target)]
+    per_hash = hashed.filter(inside).groupBy(target, "_h").agg(F.count("*").alias("_c"))
+    return {r[target]: r["_h"] for r in holding(per_hash, "_h", need).collect()}
 
 
 def stratified(
@@ -66,15 +68,13 @@ def stratified(
 ) -> DataFrame:
     """Adds ``is_val``. The validation part holds ceil(test * n) rows in the proportions of the classes.
 
-    ``id_col`` must be unique. The flag itself is a plain comparison with one cut point per class, so
-    the wide rows are not moved.
+    The sizes are exact if ``id_col`` is unique; copies of an id always stay on one side. The flag itself
+    is a plain comparison with one cut point per class, so the wide rows are not moved.
     """
     counts = {r[target]: r["cnt"] for r in class_counts(df, target).collect()}
-    quotas = train_quotas(counts, test)
-    cuts = _cut_points(df, id_col, target, counts, quotas, seed)
-    order = hashed_order(F.col(id_col), seed)
+    cuts = _cut_points(df, id_col, target, train_quotas(counts, test), max(counts.values(), default=0), seed)
+    order = _order(id_col, seed)
     is_train: Column = F.lit(False)
-    for cls, (cut_hash, cut_id) in cuts.items():
-        before = (order < cut_hash) | ((order == cut_hash) & (F.col(id_col) <= cut_id))
-        is_train = is_train | ((F.col(target) == cls) & before)
+    for cls, cut in cuts.items():
+        is_train = is_train | ((F.col(target) == cls) & (order <= cut))
     return df.withColumn("is_val", ~is_train)

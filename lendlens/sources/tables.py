@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 
 from lendlens.functions.numeric import sql_name
 
-# The seven source names, and the columns the feature code names (other columns are
-# read as they come)
+# Source names, and the types of the columns that feature code names; other columns of a
+# CSV are read as they come
 APPLICATION = "application"
 SIDE_SOURCES = (
     "bureau",
@@ -19,14 +19,24 @@ SIDE_SOURCES = (
     "installments_payments",
 )
 KNOWN_TYPES = {
-    "SK_ID_CURR": T.LongType(),
-    "SK_ID_BUREAU": T.LongType(),
-    "SK_ID_PREV": T.LongType(),
+    **dict.fromkeys(("SK_ID_CURR", "SK_ID_BUREAU", "SK_ID_PREV", "MONTHS_BALANCE"), T.LongType()),
     "TARGET": T.IntegerType(),
-    "MONTHS_BALANCE": T.LongType(),
-    "STATUS": T.StringType(),
-    "AMT_PAYMENT": T.DoubleType(),
-    "AMT_INSTALMENT": T.DoubleType(),
+    **dict.fromkeys(("STATUS", "CODE_GENDER", "FLAG_OWN_CAR"), T.StringType()),
+    **dict.fromkeys(
+        (
+            "AMT_CREDIT",
+            "AMT_INCOME_TOTAL",
+            "AMT_ANNUITY",
+            "AMT_GOODS_PRICE",
+            "AMT_PAYMENT",
+            "AMT_INSTALMENT",
+            "EXT_SOURCE_1",
+            "EXT_SOURCE_2",
+            "EXT_SOURCE_3",
+        ),
+        T.DoubleType(),
+    ),
+    **dict.fromkeys(("DAYS_BIRTH", "DAYS_EMPLOYED"), T.LongType()),
 }
 
 

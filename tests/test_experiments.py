@@ -134,3 +134,28 @@ def test_run_from_paths(spark, tmp_path):
     new = {n: p for n, p in paths.items() if n != "bureau_balance"}
     scores = experiments.score_new(spark, new, work, "Logistic_Regression")
     assert scores.count() == 1500 and scores.columns == [KEY, "score", "prediction"]
+
+
+def test_text_quality_is_learnt_from_whole_texts(spark, tmp_path):
+    """A second task with a real signal: rare low-quality documents, told by simple shares of their text."""
+    d = "/root/testdata/sf0.01"
+    words = F.split(F.trim("text"), r"\s+")
+    size = F.length("text").cast("double")
+    inputs = (
+        spark.read.parquet(f"{d}/documents.parquet")
+        .join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id")
+        .select(
+            F.col("doc_id").alias(KEY),
+            (F.col("quality") == 0).cast("int").alias(TARGET),
+            (1 - F.length(F.regexp_replace("text", r"[\p{Punct}]", "")) / size).alias("PUNCT_SHARE"),
+            (F.length(F.regexp_replace("text", r"[^\p{L}]", "")) / size).alias("LETTER_SHARE"),
+            (F.size(F.array_distinct(words)) / F.size(words)).alias("DISTINCT_SHARE"),
+            (size / F.size(words)).alias("WORD_LENGTH"),
+            F.col("n_chars").alias("AMT_CHARS"),
+        )
+    )
+    ready = prepare(inputs, str(tmp_path / "text"))
+    assert list(ready.sets) == ["all", "traditional"] and "AMT_CHARS" in ready.params.lambdas
+    for name in ("Logistic_Regression", "Random_Forest"):
+        fitted = models.fit(name, ready.sets["all"].train, "features", TARGET, SMALL)
+        assert auc(models.score(fitted, ready.sets["all"].val, "features"), "score", TARGET).first()["auc"] > 0.8

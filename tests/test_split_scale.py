@@ -24,6 +24,15 @@ def test_split_does_not_depend_on_partitioning_or_prefix(spark, monkeypatch):
     assert one == other
 
 
+def test_copies_of_an_id_stay_together(spark):
+    df = spark.range(900).select(
+        F.when(F.col("id") < 300, 7).when(F.col("id") < 310, None).otherwise(F.col("id")).alias("k"), F.lit(0).alias("t")
+    )
+    got = split.stratified(df, "k", "t")
+    assert got.groupBy("k").agg(F.count_distinct("is_val").alias("n")).filter("n <> 1").count() == 0
+    assert got.filter("is_val").count() + got.filter("NOT is_val").count() == 900
+
+
 def test_split_moves_no_rows(spark):
     df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 9 == 0).cast("int").alias("t"))
     plan = split.stratified(df, "k", "t")._jdf.queryExecution().executedPlan().toString()
