@@ -29,37 +29,41 @@ def _answering_rows(df: DataFrame, k: int) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k + 1).drop("_r")
 
 
+def _distances(pivots: list[list[float]]):
+    """A function from row vectors to their distances from every pivot. Being local, it travels to the
+    workers by value."""
+
+    def measure(x):
+        import numpy as np
+
+        centres = np.asarray(pivots, dtype="float64")
+        gaps = np.empty((len(x), len(centres)))
+        for j, centre in enumerate(centres):
+            gaps[:, j] = np.sqrt(((x - centre) ** 2).sum(axis=1))
+        return gaps
+
+    return measure
+
+
 def _with_cells(df: DataFrame, pivots: list[list[float]]) -> DataFrame:
-    """Adds the nearest pivot (``cell``), the distance to it, and the distances to all pivots."""
+    """Adds the nearest pivot (``cell``) and the distance to it (``near``)."""
+    measure = _distances(pivots)
 
     def assign(batches):
         import numpy as np
         import pyarrow as pa
 
-        centres = np.asarray(pivots, dtype="float64")
         for batch in batches:
-            rows = batch.num_rows
             vec = batch.column("v")
-            x = np.asarray(vec.flatten()).reshape(rows, -1)
-            gap = np.empty((rows, len(centres)))
-            for j, centre in enumerate(centres):
-                gap[:, j] = np.sqrt(((x - centre) ** 2).sum(axis=1))
-            cell = gap.argmin(axis=1)
-            offsets = pa.array(np.arange(0, rows * len(centres) + 1, len(centres)), pa.int32())
+            gaps = measure(np.asarray(vec.flatten()).reshape(batch.num_rows, -1))
+            cell = gaps.argmin(axis=1)
+            near = gaps[np.arange(len(cell)), cell]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    vec,
-                    pa.array(cell, pa.int32()),
-                    pa.array(gap[np.arange(rows), cell], pa.float64()),
-                    pa.ListArray.from_arrays(offsets, pa.array(gap.ravel(), pa.float64())),
-                ],
-                names=["id", "v", "cell", "near", "gaps"],
+                [batch.column("id"), vec, pa.array(cell, pa.int32()), pa.array(near, pa.float64())],
+                names=["id", "v", "cell", "near"],
             )
 
-    return df.select("id", "v").mapInArrow(
-        assign, "id bigint, v array<double>, cell int, near double, gaps array<double>"
-    )
+    return df.select("id", "v").mapInArrow(assign, "id bigint, v array<double>, cell int, near double")
 
 
 def _cell_stats(cells: DataFrame, k: int) -> list[dict]:
@@ -79,8 +83,11 @@ def _cell_stats(cells: DataFrame, k: int) -> list[dict]:
     return [r.asDict() for r in size.join(closest, "cell").orderBy("cell").collect()]
 
 
-def _visits(df: DataFrame, stats: list[dict], k: int, rows_per_block: int, chunks: int) -> DataFrame:
+def _visits(
+    df: DataFrame, pivots: list[list[float]], stats: list[dict], k: int, rows_per_block: int, chunks: int
+) -> DataFrame:
     """One row per block that may hold a neighbour of the asking row."""
+    measure = _distances(pivots)
     tables = [(s["cell"], s["inner"], s["outer"], list(s["closest"])) for s in stats]
     subs = {s["cell"]: math.ceil(s["n"] / rows_per_block) for s in stats}
 
@@ -93,7 +100,7 @@ def _visits(df: DataFrame, stats: list[dict], k: int, rows_per_block: int, chunk
         outer = np.array([t[2] for t in tables])
         blocks = np.array([subs[t[0]] for t in tables])
         for batch in batches:
-            gaps = np.asarray(batch.column("gaps").flatten()).reshape(batch.num_rows, -1)[:, cell_ids]
+            gaps = measure(np.asarray(batch.column("v").flatten()).reshape(batch.num_rows, -1))[:, cell_ids]
             # a row of cell j lies within gap_j + its distance to the pivot: the (k+1)-th smallest of
             # these sums bounds the k-th neighbour, the asking row itself being one of the rows counted
             reach = np.concatenate([gaps[:, [j]] + np.array(t[3])[None, :] for j, t in enumerate(tables)], axis=1)
@@ -121,7 +128,7 @@ def _visits(df: DataFrame, stats: list[dict], k: int, rows_per_block: int, chunk
                 )
 
     chunked = df.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
-    return chunked.select("id", "v", "chunk", "gaps").mapInArrow(
+    return chunked.select("id", "v", "chunk").mapInArrow(
         route, "id bigint, v array<double>, chunk int, cell int, sub int"
     )
 
@@ -189,12 +196,12 @@ def neighbors(df: DataFrame, id_col: str, vec: str, k: int = 5, block_bytes: int
     pivots = [
         list(r["v"]) for r in answering.orderBy(hashed_order(F.col("id"), "pivot"), "id").limit(n_pivots).collect()
     ]
-    answering_cells = materialize(_with_cells(answering, pivots).drop("gaps"), "cells")
+    answering_cells = materialize(_with_cells(answering, pivots), "cells")
     stats = _cell_stats(answering_cells, k)
 
     per_block = max(1_000, block_bytes // (8 * width))
     chunks = math.ceil(total / per_block)
-    visits = _visits(_with_cells(rows, pivots), stats, k, per_block, chunks)
+    visits = _visits(rows, pivots, stats, k, per_block, chunks)
 
     parts = F.create_map(
         *[F.lit(v) for s in stats for v in (s["cell"], math.ceil(s["n"] / per_block))]

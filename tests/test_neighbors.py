@@ -49,10 +49,8 @@ def test_far_fewer_visits_than_blocks_on_clustered_rows(spark, small_blocks):
     rng = np.random.default_rng(3)
     x = np.repeat(np.eye(8) * 100, 100, axis=0) + rng.normal(size=(800, 8)) * 0.1
     rows = frame(spark, np.arange(800), x)
-    answering = rows
     pivots = [list(map(float, x[i * 100])) for i in range(8)]
-    cells = nb._with_cells(answering, pivots)
-    visits = nb._visits(cells, nb._cell_stats(cells.drop("gaps"), 5), 5, 1000, 1)
+    visits = nb._visits(rows, pivots, nb._cell_stats(nb._with_cells(rows, pivots), 5), 5, 1000, 1)
     assert visits.count() == 800
 
 
