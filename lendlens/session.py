@@ -31,16 +31,13 @@ def work_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a
     temporary folder: on a cluster, executors would not see it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if not base:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lendlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(base)
-    return f"{base}/{context.applicationId}"
+        if not base and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(base or tempfile.mkdtemp(prefix="lendlens-"))
+    return f"{base or context.getCheckpointDir()}/{context.applicationId}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

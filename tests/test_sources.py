@@ -45,9 +45,26 @@ def test_materialized_table_has_no_lineage(spark):
 
 
 def test_work_dir_is_the_configured_folder(spark):
-    assert work_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    work_dir(spark)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert work_dir(spark).startswith(folder) and work_dir(spark) == work_dir(spark)
     path = f"{work_dir(spark)}/some"
     spark.range(1).write.parquet(path)
     assert exists(spark, path)
     delete(spark, path)
     assert not exists(spark, path)
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Context:
+        master, applicationId = "yarn", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+
+    with pytest.raises(RuntimeError):
+        work_dir(Session())
