@@ -4,11 +4,44 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from lendlens.llm import decontaminate, minhash, packing, pii, toxicity
+from pyspark.sql import functions as F
+
+from lendlens.llm import (
+    decontaminate,
+    fingerprints,
+    licences,
+    minhash,
+    packing,
+    pii,
+    suffix,
+    tokens,
+    toxicity,
+    warc,
+)
 from lendlens.llm.common import read
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.kept(suffix.deduplicate(read(spark, sf_dir, "documents")))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > tokens.LIMIT)
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -30,6 +63,33 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES = {f.__name__: f for f in (op5_toxicity, op6_minhash, op7_pii, op8_packing, op10_decontaminate)}
-
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_fingerprints,
+        op2_repeats,
+        op3_warc,
+        op4_tokens,
+        op5_toxicity,
+        op6_minhash,
+        op7_pii,
+        op8_packing,
+        op9_licences,
+        op10_decontaminate,
+    )
+}
+
+ORACLE = {
+    "op3_warc": """
+        WITH p AS (
+          SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+          FROM pages
+        ), f AS (
+          SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+          CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)
+    """,
+}

@@ -34,7 +34,7 @@ NEAR = 6
 # Common insults
 INSULTS = (
     "idiot moron stupid dumb loser trash scum worthless pathetic disgusting clown garbage fool jerk creep "
-    "imbecile filth vermin pig ugly hate shut kill die freak liar coward bastard bitch damn crap"
+    "imbecile filth vermin ugly freak liar coward bastard bitch damn crap"
 ).split()
 SECOND_PERSON = "you your yours yourself youre u ur".split()
 # Characters written for letters
@@ -57,7 +57,8 @@ def features(text: str, learned: dict[str, float], insults: frozenset = frozense
     hits = [i for i, w in enumerate(low) if w in insults]
     you = [i for i, w in enumerate(low) if w in _YOU]
     near = sum(any(abs(i - j) <= NEAR for j in you) for i in hits) if hits and len(you) < 10_000 else 0
-    weights = [learned[w] for w in low if w in learned]
+    # a learned entry is a word, or a stem of four letters and a star
+    weights = [x for w in low if (x := learned.get(w) or (len(w) > 4 and learned.get(w[:4] + "*")))]
     masked = _MASKED.findall(text)
     plain = [re.sub(r"[.\-_*]", "", m.translate(LEET)).lower() for m in masked]
     capitals = sum(map(str.isupper, tokens))
@@ -106,8 +107,11 @@ def _sample(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
 
 
 def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
-    """Words with the largest log-odds of the toxic class, by documents that hold them, at least five."""
-    word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))))
+    """Words and four-letter stems with the largest log-odds of the toxic class, by documents that hold them,
+    at least five."""
+    found = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    stems = F.transform(F.filter(found, lambda w: F.length(w) > 4), lambda w: F.concat(F.substring(w, 1, 4), F.lit("*")))
+    word = F.explode(F.array_distinct(F.concat(found, stems)))
     totals = sample.groupBy("toxic").count().collect()
     n = {r["toxic"]: r["count"] for r in totals}
     if len(n) < 2:
@@ -116,7 +120,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
         F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")
     )
     odds = F.log((F.col("t") + 0.5) / n[1]) - F.log((F.col("c") + 0.5) / n[0])
-    best = counts.where("t >= 5").withColumn("odds", odds).where("odds > 1.5")
+    best = counts.where("t >= 5").withColumn("odds", odds).where("odds > 2.5")
     return {r["word"]: float(r["odds"]) for r in best.orderBy(F.desc("odds"), "word").limit(size).collect()}
 
 
