@@ -26,6 +26,7 @@ from lendlens.llm.common import sha256
 
 KEEP = 32
 FROM_LEVEL = 2
+NO_ID = -(1 << 63)  # rows without an id come first
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -111,13 +112,14 @@ def _followed(documents: DataFrame, key: str) -> DataFrame:
     row is found by its key.
     """
     parts = max(2, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    own = documents.select(F.col(key).cast("long").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    id_ = F.coalesce(F.col(key).cast("long"), F.lit(NO_ID))
+    own = documents.select(id_.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     cuts = own.approxQuantile("key", [i / parts for i in range(1, parts)], 0.25 / parts)
     cuts = sorted({int(c) for c in cuts})
     place = F.lit(0)
     if cuts:
         bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-        place = F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col("key"))), F.lit(0))
+        place = F.size(F.filter(bounds, lambda c: c <= F.col("key")))
     dealt = own.withColumn("range", place)
     firsts = dealt.groupBy("range").agg(F.min("key").alias("key")).collect()  # at most one row per range
     firsts = sorted((r["range"], r["key"]) for r in firsts)
@@ -125,15 +127,11 @@ def _followed(documents: DataFrame, key: str) -> DataFrame:
     goes = [(before, now[1]) for (before, _), now in zip(firsts, firsts[1:])]
     if firsts:
         goes.append((firsts[-1][0], firsts[0][1]))
-    ghosts = None
-    for target, first in goes:
-        same = F.col("key").eqNullSafe(F.lit(first).cast("long"))
-        one = F.when(same, F.lit(target))
-        ghosts = [one] if ghosts is None else [*ghosts, one]
     dealt = dealt.withColumn("ghost", F.lit(False))
-    if ghosts:
-        copies = F.explode(F.array_compact(F.array(*ghosts)))
-        chosen = own.where(F.col("key").isin([k for _, k in goes if k is not None]) | F.col("key").isNull())
+    if goes:
+        moves = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(k).cast("long").alias("k")) for r, k in goes])
+        copies = F.explode(F.transform(F.filter(moves, lambda m: m["k"] == F.col("key")), lambda m: m["r"]))
+        chosen = own.where(F.col("key").isin([k for _, k in goes]))
         least = chosen.groupBy("key").agg(F.min("text").alias("text"))
         dealt = dealt.unionByName(least.select("key", "text", copies.alias("range"), F.lit(True).alias("ghost")))
     return dealt.repartition(parts, "range").sortWithinPartitions("range", "ghost", "key", "text")
@@ -167,4 +165,5 @@ def _compared(key, text: str, own: str, after: str, other: str) -> tuple:
     half = len(text) // 2
     edited = text[: len(text) - half] + after[:half]
     print_ = fingerprint(edited.encode()) if edited != text else own
-    return key, len(text), sha256(edited), own, print_, likeness(own, print_), likeness(own, other)
+    shown = None if key == NO_ID else key
+    return shown, len(text), sha256(edited), own, print_, likeness(own, print_), likeness(own, other)

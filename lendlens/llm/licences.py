@@ -14,7 +14,7 @@ of them; rows without an id are taken as one id; other columns are ignored.
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,15 +82,6 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _grams(words: Column, longest: int = 3) -> Column:
-    out = words
-    for n in range(2, longest + 1):
-        starts = F.sequence(F.lit(1), F.size(words) - n + 1)
-        grams = F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " "))
-        out = F.concat(out, F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return out
-
-
 def paragraphs(documents: DataFrame) -> DataFrame:
     """(doc_id, row, line): non-blank lines."""
     own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -106,8 +97,10 @@ def templates(spark: SparkSession) -> DataFrame:
 
 def _vectors(df: DataFrame) -> DataFrame:
     """Adds ``features`` for the word list ``words``."""
+    df = NGram(n=2, inputCol="words", outputCol="two").transform(df)
+    df = NGram(n=3, inputCol="words", outputCol="three").transform(df)
     hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=BUCKETS, binary=True)
-    return hashed.transform(df.withColumn("grams", _grams(F.col("words")))).drop("grams")
+    return hashed.transform(df.withColumn("grams", F.concat("words", "two", "three"))).drop("grams", "two", "three")
 
 
 class Classifier:
@@ -145,27 +138,29 @@ class Classifier:
         best = F.array_max(F.slice("p", 2, len(FAMILIES)))
         return scored.withColumn("best", (F.array_position(F.slice("p", 2, len(FAMILIES)), best) - 1).cast("int")).drop("p")
 
-    def classify(self, lines: DataFrame) -> DataFrame:
-        """Adds family (null: unknown), probability and confirmed to (doc_id, line)."""
+    def known(self, lines: DataFrame) -> DataFrame:
+        """(doc_id, words, family, probability) of the lines of (doc_id, line) that are of a family."""
         scored = self.calibration.transform(self._any(_vectors(lines.withColumn("words", _words(F.col("line"))))))
-        known = F.col("prediction") >= 0.5
         family = F.element_at(F.array(*map(F.lit, FAMILIES)), F.col("best") + 1)
-        scored = scored.withColumn("family", F.when(known, family)).withColumn("probability", F.col("prediction"))
-        pairs = lambda words: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.array_join(F.slice(words, i, 2), " ")))
-        own = F.when(F.size("words") > 1, pairs(F.col("words")))
-        match = F.lit(False)
-        for name in FAMILIES:
-            for text in TEMPLATES[name]:
-                wanted = pairs(_words(F.lit(text)))
-                share = F.size(F.array_intersect("pairs", wanted)) / F.size(wanted)
-                match = match | ((F.col("family") == name) & (share >= CONFIRM))
-        scored = scored.withColumn("pairs", F.when(known, own))
-        return scored.withColumn("confirmed", F.coalesce(match, F.lit(False))).select("doc_id", "line", "family", "probability", "confirmed")
+        found = scored.where("prediction >= 0.5")
+        return found.select("doc_id", "words", family.alias("family"), F.col("prediction").alias("probability"))
+
+
+def confirmed(known: DataFrame) -> DataFrame:
+    """Adds ``confirmed``: the words hold most word pairs of a template of their family."""
+    pairs = lambda df, words: NGram(n=2, inputCol=words, outputCol="pairs").transform(df)
+    wanted = pairs(templates(known.sparkSession).withColumn("w", _words(F.col("text"))), "w")
+    # as many rows as there are templates
+    wanted = wanted.groupBy("family").agg(F.collect_list(F.array_distinct("pairs")).alias("wanted"))
+    met = pairs(known, "words").join(F.broadcast(wanted), "family")
+    share = F.transform("wanted", lambda w: F.size(F.array_intersect("pairs", w)) / F.size(w))
+    return met.withColumn("confirmed", F.array_max(share) >= CONFIRM).drop("wanted", "pairs")
 
 
 def scan(documents: DataFrame) -> DataFrame:
     """(doc_id, n_paragraphs, n_licensed, n_confirmed, families) per row of ``documents``."""
-    found = Classifier(documents).classify(paragraphs(documents)).where("family IS NOT NULL")
+    # written once: what follows reads the few known lines, not the scores again
+    found = confirmed(materialize(Classifier(documents).known(paragraphs(documents)), "licence_lines"))
     per_doc = found.groupBy("doc_id").agg(
         F.count("*").alias("n_licensed"),
         F.sum(F.col("confirmed").cast("long")).alias("n_confirmed"),
