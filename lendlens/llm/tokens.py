@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,6 +75,12 @@ class Counter:
         return len(coded.ids), at, before
 
 
+@lru_cache(1)
+def counter_for(path: str) -> Counter:
+    """One counter a worker process, which serves many tasks."""
+    return Counter(path)
+
+
 def _cut(huge: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """(row, k, last, body): overlapping chunks of (row, text), spread over the tasks."""
 
@@ -98,7 +105,7 @@ def _encoded(chunks: DataFrame, tokenizer: str, chunk: int, overlap: int) -> Dat
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(tokenizer)
+        counter = counter_for(tokenizer)
         for batch in batches:
             rows = []
             for row, k, last, body in zip(*(batch.column(c).to_pylist() for c in ("row", "k", "last", "body"))):
@@ -138,7 +145,7 @@ def count_tokens(documents: DataFrame, tokenizer: str, chunk: int = CHUNK, overl
     long = F.char_length("text") > chunk + overlap
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(tokenizer)
+        counter = counter_for(tokenizer)
         for batch in batches:
             counts = [counter.count(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(counts, pa.int64())], NAMES)
