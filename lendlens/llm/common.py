@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -46,3 +47,14 @@ def utf8(column: pa.Array) -> list[bytes]:
 
 def sha256(data: bytes | str) -> str:
     return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
+
+
+def load_tokenizer(path: str):
+    """The library's tokenizer, whole texts, on the task's own thread: Spark already keeps every core busy."""
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer

@@ -13,9 +13,11 @@ are ignored. A piece is never longer than the capacity.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import utf8
+from lendlens.llm.common import load_tokenizer, utf8
 from lendlens.session import materialize
 
 CAPACITY = 4096
@@ -31,38 +33,78 @@ END_ID = 1
 CACHE = 400_000
 
 
+class _Seen(dict):
+    """Ids of chunks; notes the chunks that were asked for and are not held."""
+
+    def __init__(self):
+        self.unseen: set[bytes] = set()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        self.unseen.add(chunk)
+        return b""
+
+
 class WordEncoder:
-    """Ids of whole texts for a tokenizer that drops white space and never joins across a space.
+    """Ids of whole texts for a tokenizer that lower-cases, drops white space and never joins across a space.
 
-    A text's ids are those of its space-separated chunks in order; the library encodes each chunk once
-    while it stays in a bounded cache.
+    A text's ids are those of its chunks in order: words without the punctuation that follows them. An
+    ASCII letter before ASCII punctuation always ends a word, so cutting there changes nothing; only the
+    special strings span such a place, and texts that may hold one are cut at white space alone. The library
+    encodes each chunk once while it stays in a bounded cache.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.cache: dict[bytes, np.ndarray] = {}
+        self.tokenizer = load_tokenizer(path)
+        vocabulary = self.tokenizer.get_vocab()
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for t, i in vocabulary.items() if mark and t.endswith(mark)]] = True
+        self.cache = _Seen()
 
     def ids(self, data: bytes) -> np.ndarray:
-        chunks = data.split(b" ")
-        new = [c for c in set(chunks) if c not in self.cache]
-        if new:
+        chunks = data.split() if b"<|" in data else _WORD_END.sub(b" ", data.lower()).split()
+        coded = list(map(self.cache.__getitem__, chunks))
+        if new := self.cache.unseen:
             if len(self.cache) + len(new) > CACHE:
                 self.cache.clear()
-                new = list(set(chunks))
-            coded = self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-            self.cache.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(new, coded))
-        return np.frombuffer(b"".join(map(self.cache.__getitem__, chunks)), "<u4")
+                new = set(chunks)
+            self._learn(list(new))
+            self.cache.unseen = set()
+            coded = map(self.cache.__getitem__, chunks)
+        return np.frombuffer(b"".join(coded), np.uint32)
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        texts = [c.decode() for c in chunks]
+        words = [k for k, t in enumerate(texts) if t.isalpha()]
+        # words are encoded together; each has one end mark if there are as many marks as words
+        ids = self._coded([" ".join([texts[k] for k in words])])[0]
+        ends = np.flatnonzero(self.is_end[ids]) + 1
+        if len(ends) == len(words):
+            ends, joined = (4 * ends).tolist(), ids.tobytes()
+            self.cache.update((chunks[k], joined[a:b]) for k, a, b in zip(words, [0, *ends], ends))
+            rest = [k for k, t in enumerate(texts) if not t.isalpha()]
+        else:
+            rest = range(len(chunks))
+        self.cache.update((chunks[k], x.tobytes()) for k, x in zip(rest, self._coded([texts[k] for k in rest])))
+
+    def _coded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+_WORD_END = re.compile(rb"(?<=[a-z])(?=[!-/:-@\[-`{-~])")
+
+
+@lru_cache(1)
+def encoder_for(path: str) -> WordEncoder:
+    """One encoder a worker process, which serves many tasks."""
+    return WordEncoder(path)
 
 
 def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, part, nth): ``nth`` counts pieces of a length in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_for(tokenizer)
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []

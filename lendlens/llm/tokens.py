@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendlens.llm.common import load_tokenizer
 from lendlens.session import materialize
 
 CHUNK = 65_536
@@ -38,11 +39,9 @@ class Counter:
     """Counts by a byte-level BPE tokenizer; counts of words with their space stay in a bounded cache."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers, processors
+        from tokenizers import pre_tokenizers, processors
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = load_tokenizer(path)
         if not isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) or self.tokenizer.normalizer:
             raise ValueError("a byte-level tokenizer without a normalizer is needed")
         self.tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
