@@ -17,7 +17,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -94,17 +93,11 @@ class WordEncoder:
 _WORD_END = re.compile(rb"(?<=[a-z])(?=[!-/:-@\[-`{-~])")
 
 
-@lru_cache(1)
-def encoder_for(path: str) -> WordEncoder:
-    """One encoder a worker process, which serves many tasks."""
-    return WordEncoder(path)
-
-
 def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, part, nth): ``nth`` counts pieces of a length in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_for(tokenizer)
+        encoder = WordEncoder(tokenizer)  # given up with the task: workers outlive it
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
