@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ MISS = 1e-6  # posterior probability at which a candidate is given up
 BATCH = 32
 #: Members of a band's group that one task pairs at a time.
 BLOCK = 256
-_PRIME = (1 << 31) - 1
-CACHE = 1_000_000
+#: Shingles that are hashed at a time.
+COLUMNS = 512
 
 
 @lru_cache(1)
@@ -44,38 +45,29 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     return draw.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1), draw.integers(0, 1 << 63, n, dtype=np.uint64)
 
 
-class Shingler:
-    """Sorted distinct 64-bit shingle hashes of a text; word hashes stay in a bounded cache."""
-
-    def __init__(self):
-        self.cache: dict[bytes, int] = {}
-
-    def __call__(self, data: bytes) -> np.ndarray:
-        tokens = data.lower().split()  # bytes: A-Z, and ASCII white space
-        new = [t for t in set(tokens) if t not in self.cache]
-        if new:
-            if len(self.cache) + len(new) > CACHE:
-                self.cache.clear()
-                new = list(set(tokens))
-            self.cache.update((t, int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little")) for t in new)
-        codes = np.fromiter(map(self.cache.__getitem__, tokens), np.uint64, len(tokens))
-        if not len(codes):
-            return codes
-        width = min(WORDS, len(codes))
-        mixed = np.full(len(codes) - width + 1, np.uint64(width))
-        for k in range(width):
-            mixed = (mixed ^ codes[k : len(codes) - width + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(29)
-        return np.unique(mixed)
-
-
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """MinHash values, the upper 31 bits of multiply-add hashes."""
+def shingles(data: bytes) -> np.ndarray:
+    """Sorted distinct 64-bit shingle hashes of a text."""
+    tokens = data.lower().split()  # bytes: A-Z, and ASCII white space
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
+    if not len(codes):
+        return codes
+    width = min(WORDS, len(codes))
+    mixed = np.full(len(codes) - width + 1, np.uint64(width))
+    for k in range(width):
+        mixed = (mixed ^ codes[k : len(codes) - width + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return np.unique(mixed)
+
+
+def signature(own: np.ndarray) -> np.ndarray:
+    """MinHash values, the upper 31 bits of multiply-add hashes; blocks of shingles stay in the processor's cache."""
     a, b = _multipliers()
-    out = np.empty(len(a), np.int32)
-    for k in range(len(a)):
-        out[k] = (shingles * a[k] + b[k]).min() >> np.uint64(33)
-    return out
+    least = np.full(len(a), np.iinfo(np.uint64).max)
+    for start in range(0, len(own), COLUMNS):
+        mixed = own[start : start + COLUMNS] * a[:, None]
+        mixed += b[:, None]
+        np.minimum(least, mixed.min(axis=1), out=least)
+    return (least >> np.uint64(33)).astype(np.int32)
 
 
 @lru_cache(4096)
@@ -99,14 +91,11 @@ def prepared(documents: DataFrame) -> DataFrame:
     Nodes are 64-bit hashes of whole sets.
     """
     kind = "doc_id bigint, text_key bigint, n_shingles int, node bigint, sig binary"
-    shingler: list = []
 
     def work(batch: pa.RecordBatch) -> dict:
-        if not shingler:  # once a task
-            shingler.append(Shingler())
         out: dict[str, list] = {"n_shingles": [], "node": [], "sig": []}
         for data in utf8(batch.column("text")):
-            own = shingler[0](data)
+            own = shingles(data)
             out["n_shingles"].append(len(own))
             key = hashlib.blake2b(own.tobytes(), digest_size=8).digest()
             out["node"].append(int.from_bytes(key, "little", signed=True) if len(own) else None)
@@ -166,11 +155,10 @@ def verified(pairs: DataFrame, sig: DataFrame, texts: DataFrame) -> DataFrame:
     full = left.join(texts.toDF("a", "xa"), "a").join(texts.toDF("b", "xb"), "b")
 
     def confirm(batches):
-        shingler = Shingler()
         for batch in batches:
             keep = []
             for x, y in zip(utf8(batch.column("xa")), utf8(batch.column("xb"))):
-                s, t = shingler(x), shingler(y)
+                s, t = shingles(x), shingles(y)
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(NEAR[1] * both >= NEAR[0] * (len(s) + len(t) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
