@@ -327,3 +327,22 @@ def test_toxicity_odd(spark):
         assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
     assert toxicity.classify(table(spark, []), labels).count() == 0
     assert toxicity.keep_clean(df, labels.limit(0)).columns == df.columns
+
+
+def test_word_encoder_like_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder, draw = Tokenizer.from_file(path), packing.WordEncoder(path), random.Random(3)
+    bits = [*"aBzé'́İKK.,-_!1²½“…\x0b\x0c\x1c\x85 \t\n　#@[]{}<|>", "'s", "'LL", "n't", "ß", "Σ", "日本", "</w>"]
+    bits += ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"]
+    for _ in range(3_000):
+        text = "".join(draw.choice(bits) for _ in range(draw.randrange(14)))
+        assert encoder.ids(text.encode()).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_signature_in_blocks():
+    own = minhash.shingles(b" ".join(b"w%d" % i for i in range(2_000)))
+    a, b = minhash._multipliers()
+    want = [int((own * a[k] + b[k]).min() >> np.uint64(33)) for k in range(len(a))]
+    assert len(own) > 3 * minhash.COLUMNS and minhash.signature(own).tolist() == want
