@@ -2,7 +2,8 @@
 
 Features of a whole text: densities of a word list and of a lexicon learned from labelled rows, listed
 words near a word of the second person, share of capitals, punctuation, and obfuscated words. Trees are
-fitted on a bounded sample of labelled rows, calibrated on other labelled rows, and applied to all.
+fitted on a bounded sample of labelled rows, calibrated on other labelled rows, and applied to all. A class
+is drawn at its own rate, so each row weighs the inverse of it: scores keep the prior of all labelled rows.
 
 Odd input: null and empty texts have zero features and get the score of those; repeated rows are kept;
 labels of ids without a text and null labels are ignored; an id with several labels is toxic if one says
@@ -92,7 +93,7 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 def _sample(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """(doc_id, text, toxic, draw) of at most ``sample`` labelled rows outside the held-out ones."""
+    """(doc_id, text, toxic, weight, draw) of at most ``sample`` labelled rows outside the held-out ones."""
     own = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     own = own.where(~F.coalesce(held_out("doc_id"), F.lit(False)))
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
@@ -100,8 +101,8 @@ def _sample(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     share = F.lit(1.0)
     for value, n in sizes.items():
         share = F.when(F.col("toxic") == value, F.lit(min(1.0, sample / 2 / n))).otherwise(share)
-    own = own.withColumn("draw", draw).where(F.col("draw") < share)
-    own = own.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"), F.xxhash64(F.lit("fold"), "doc_id").alias("draw"))
+    own = own.withColumn("draw", draw).withColumn("weight", 1 / share).where(F.col("draw") < share)
+    own = own.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"), "weight", F.xxhash64(F.lit("fold"), "doc_id").alias("draw"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(own, "doc_id")
 
@@ -140,22 +141,22 @@ class Scorer:
 
     def __init__(self, documents: DataFrame, labels: DataFrame, sample: int = SAMPLE):
         rows = materialize(_sample(documents, labels, sample), "labelled")
-        self.share = float(rows.agg(F.avg("toxic")).first()[0] or 0.0)
+        self.share = float(rows.agg(F.sum(F.col("toxic") * F.col("weight")) / F.sum("weight")).first()[0] or 0.0)
         self.trees = None
         if not 0 < self.share < 1:
             return
         fit, rest = rows.where("pmod(draw, 4) <> 0"), rows.where("pmod(draw, 4) = 0")
         self.learned = learn_lexicon(fit)
-        fit = materialize(_featured(fit, self.learned, "toxic int, doc_id bigint"), "fit").coalesce(2)
+        fit = materialize(_featured(fit, self.learned, "toxic int, weight double, doc_id bigint"), "fit").coalesce(2)
         if fit.select("toxic").distinct().count() < 2:
             return
-        trees = GBTClassifier(labelCol="toxic", maxDepth=4, maxIter=20, stepSize=0.2, seed=7, minInstancesPerNode=5)
+        trees = GBTClassifier(labelCol="toxic", weightCol="weight", maxDepth=4, maxIter=20, stepSize=0.2, seed=7, minInstancesPerNode=5)
         self.trees = trees.fit(fit)
-        margin = self._margin(_featured(rest, self.learned, "toxic int, doc_id bigint"))
-        margin = margin.select("margin", F.col("toxic").cast("double").alias("toxic"))
+        margin = self._margin(_featured(rest, self.learned, "toxic int, weight double, doc_id bigint"))
+        margin = margin.select("margin", "weight", F.col("toxic").cast("double").alias("toxic"))
         self.isotonic = None
         if margin.limit(1).count():
-            self.isotonic = IsotonicRegression(featuresCol="margin", labelCol="toxic").fit(margin)
+            self.isotonic = IsotonicRegression(featuresCol="margin", labelCol="toxic", weightCol="weight").fit(margin)
 
     def _margin(self, df: DataFrame) -> DataFrame:
         scored = self.trees.transform(df).withColumn("margin", vector_to_array("rawPrediction")[1])

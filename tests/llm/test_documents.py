@@ -329,6 +329,29 @@ def test_toxicity_odd(spark):
     assert toxicity.keep_clean(df, labels.limit(0)).columns == df.columns
 
 
+@pytest.mark.parametrize("said", [0.1, 0.6])
+def test_toxicity_prior_of_a_small_sample(spark, said):
+    draw = random.Random(3)
+    texts, marks = [], []
+    for i in range(6_000):
+        toxic = draw.random() < 0.08
+        hint = draw.random() < (said if toxic else 0.05)
+        texts.append((i, " ".join(draw.choice("abcdefgh") * 2 for _ in range(20)) + (" you idiot" if hint else "")))
+        marks.append((i, 1, int(toxic)))
+    df, labels = table(spark, texts), spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    true = sum(t for _, _, t in marks) / len(marks)
+    for sample in (500, 20_000):
+        mean = toxicity.Scorer(df, labels, sample).score(df).agg(F.avg("score")).first()[0]
+        assert abs(mean - true) < 0.03
+
+
+def test_toxicity_share_of_a_small_sample(spark):
+    labels = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i in range(3_000)], "doc_id bigint, quality int, toxic int")
+    rows = toxicity._sample(table(spark, [(i, "a") for i in range(3_000)]), labels, 200)
+    weight, toxic = rows.agg(F.sum("weight"), F.sum(F.col("weight") * F.col("toxic"))).first()
+    assert rows.count() < 400 and 0.07 < toxic / weight < 0.13
+
+
 def test_word_encoder_like_library():
     from tokenizers import Tokenizer
 
