@@ -14,6 +14,7 @@ inputs are ignored (``keep_clean`` keeps them).
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +58,8 @@ def features(text: str, learned: dict[str, float], insults: frozenset = frozense
     size = len(text) or 1
     hits = [i for i, w in enumerate(low) if w in insults]
     you = [i for i, w in enumerate(low) if w in _YOU]
-    near = sum(any(abs(i - j) <= NEAR for j in you) for i in hits) if hits and len(you) < 10_000 else 0
+    # the first word of the second person within or after a hit's reach decides
+    near = sum((k := bisect_left(you, i - NEAR)) < len(you) and you[k] <= i + NEAR for i in hits)
     # a learned entry is a word, or a stem of four letters and a star
     weights = [x for w in low if (x := learned.get(w) or (len(w) > 4 and learned.get(w[:4] + "*")))]
     masked = _MASKED.findall(text)

@@ -345,6 +345,16 @@ def test_toxicity_prior_of_a_small_sample(spark, said):
         assert abs(mean - true) < 0.03
 
 
+def test_near_words_of_any_length():
+    draw = random.Random(5)
+    at = toxicity.NAMES.index("near_you")
+    for n, often in ((40, 0.1), (3_000, 0.02), (30_000, 0.5)):
+        low = [draw.choice(["you", "ur"]) if draw.random() < often else draw.choice(["idiot", *"abcdefgh"]) for _ in range(n)]
+        you = {i for i, w in enumerate(low) if w in ("you", "ur")}
+        near = sum(w == "idiot" and any(i + d in you for d in range(-toxicity.NEAR, toxicity.NEAR + 1)) for i, w in enumerate(low))
+        assert near and toxicity.features(" ".join(low), {})[at] == near / n
+
+
 def test_toxicity_share_of_a_small_sample(spark):
     labels = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i in range(3_000)], "doc_id bigint, quality int, toxic int")
     rows = toxicity._sample(table(spark, [(i, "a") for i in range(3_000)]), labels, 200)
