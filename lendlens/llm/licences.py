@@ -5,7 +5,7 @@ whose classes are the families and "unknown". It is trained on the templates, on
 words left out or added, and on a bounded sample of the corpus' own lines as the unknown class. An
 isotonic fit on other variants and lines turns the probability of any family into a calibrated one; below
 one half a paragraph is unknown. A known paragraph is confirmed if enough of the word pairs of one of its
-family's templates occur in it. Only DataFrame functions and ``pyspark.ml`` on the JVM are used.
+family's templates occur in it, or enough of its own in such a template. Only DataFrame functions and ``pyspark.ml`` on the JVM are used.
 
 Odd input: null and empty texts have no paragraphs and no licence; rows of a repeated id share the sums of all
 of them; rows without an id are taken as one id; other columns are ignored.
@@ -68,7 +68,7 @@ TEMPLATES = {
         "This work is in the public domain.",
         "To the extent possible under law, the author has waived all copyright and related rights under CC0 1.0 Universal.",
     ),
-    "proprietary": ("Copyright. All rights reserved.", "All rights reserved. Unauthorised copying is prohibited."),
+    "proprietary": ("All rights reserved.", "Copyright. All rights reserved.", "All rights reserved. Unauthorised copying is prohibited."),
 }
 FAMILIES = list(TEMPLATES)
 BUCKETS = 1 << 14
@@ -76,6 +76,8 @@ BUCKETS = 1 << 14
 UNKNOWN_LINES = 4_000
 VARIANTS = 24
 CONFIRM = 0.7
+#: Word pairs that a part of a template shares with it, at least.
+PART_PAIRS = 4
 
 
 def _words(text: Column) -> Column:
@@ -146,15 +148,30 @@ class Classifier:
         return found.select("doc_id", "words", family.alias("family"), F.col("prediction").alias("probability"))
 
 
+def _pairs(df: DataFrame) -> DataFrame:
+    """Adds ``pairs``, the different word pairs of ``words``."""
+    two = NGram(n=2, inputCol="words", outputCol="pairs").transform(df)
+    return two.withColumn("pairs", F.array_distinct("pairs"))
+
+
+def _near(pairs: Column, wanted: Column) -> Column:
+    """The larger of: the share of a template's pairs in the text, and the share of the text's pairs in a template."""
+
+    def share(w: Column) -> Column:
+        both = F.size(F.array_intersect(pairs, w))
+        part = F.when(both >= PART_PAIRS, both / F.size(pairs)).otherwise(0.0)
+        return F.greatest(both / F.size(w), part)
+
+    return F.array_max(F.transform(wanted, share))
+
+
 def confirmed(known: DataFrame) -> DataFrame:
-    """Adds ``confirmed``: the words hold most word pairs of a template of their family."""
-    pairs = lambda df, words: NGram(n=2, inputCol=words, outputCol="pairs").transform(df)
-    wanted = pairs(templates(known.sparkSession).withColumn("w", _words(F.col("text"))), "w")
+    """Adds ``confirmed``: the words hold most word pairs of a template of their family, or are a part of it."""
+    wanted = _pairs(templates(known.sparkSession).withColumn("words", _words(F.col("text"))))
     # as many rows as there are templates
-    wanted = wanted.groupBy("family").agg(F.collect_list(F.array_distinct("pairs")).alias("wanted"))
-    met = pairs(known, "words").join(F.broadcast(wanted), "family")
-    share = F.transform("wanted", lambda w: F.size(F.array_intersect("pairs", w)) / F.size(w))
-    return met.withColumn("confirmed", F.array_max(share) >= CONFIRM).drop("wanted", "pairs")
+    wanted = wanted.groupBy("family").agg(F.collect_list("pairs").alias("wanted"))
+    met = _pairs(known).join(F.broadcast(wanted), "family")
+    return met.withColumn("confirmed", _near(F.col("pairs"), F.col("wanted")) >= CONFIRM).drop("wanted", "pairs")
 
 
 def scan(documents: DataFrame) -> DataFrame:

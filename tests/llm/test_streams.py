@@ -227,3 +227,21 @@ def test_licences(spark):
     assert {d: found[d] for d, _, _ in told} == {d: f for d, _, f in told}
     assert [r["doc_id"] for r in rows if r["families"] and (r["doc_id"] or 0) < 9000] == []
     assert licences.scan(docs.limit(0)).count() == 0
+
+
+def test_lines_of_the_tables(spark):
+    lines = [
+        ("All rights reserved.", "proprietary"),
+        ("Copyright (c) 2020 Acme. All rights reserved.", "proprietary"),
+        ("Licensed under the Apache License, Version 2.0.", "apache-2.0"),
+        ("Released under the MIT License.", "mit"),
+        ("This work is licensed under the GNU General Public License, version 3.", "gpl"),
+        ("Licensed under CC BY-NC 4.0.", "cc-by-nc"),
+        ("He reserved all the rooms on the right.", ""),
+    ]
+    made = spark.createDataFrame([(90_000 + i, f"Some words.\n{t}\nMore.") for i, (t, _) in enumerate(lines)], "doc_id bigint, text string")
+    docs = read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").unionByName(made)
+    found = {r["doc_id"]: r["families"] for r in licences.scan(docs).collect()}
+    assert [found[90_000 + i] for i in range(len(lines))] == [f for _, f in lines]
+    told = {r["doc_id"] for r in docs.where("text rlike '(^|\n)All rights reserved[.](\n|$)'").collect()}
+    assert len(told) > 1 and all("proprietary" in found[d].split(",") for d in told)
