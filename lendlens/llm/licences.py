@@ -1,6 +1,8 @@
 """Licence families of paragraphs by a trained classifier, confirmed against templates.
 
-Paragraphs are lines. Word 1- to 3-grams, hashed to sparse vectors, feed a multinomial logistic regression
+Paragraphs end at a line of no more than white space and comment signs, and at a line that ends a sentence, so
+hard-wrapped lines belong together and a line between others stands alone; the lines of a longer paragraph are
+looked at too, and it is licensed if its whole or a line is, by the families of all of them. Word 1- to 3-grams, hashed to sparse vectors, feed a multinomial logistic regression
 whose classes are the families and "unknown". It is trained on the templates, on variants of them with
 words left out or added, and on a bounded sample of the corpus' own lines as the unknown class. An
 isotonic fit on other variants and lines turns the probability of any family into a calibrated one; below
@@ -27,29 +29,54 @@ TEMPLATES = {
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "See the License for the specific language governing permissions and limitations under the License.",
+        "Apache License, Version 2.0, January 2004",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "mit": (
+        "MIT License",
+        "The MIT License (MIT)",
         "Released under the MIT License.",
         "This project is licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
         "SPDX-License-Identifier: MIT",
     ),
     "gpl": (
+        "GNU General Public License, Version 3, 29 June 2007",
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+        "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "lgpl": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library; if not, write to the Free Software Foundation",
     ),
     "bsd": (
+        "BSD 3-Clause License",
+        "BSD 2-Clause License",
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ),
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
         "Licensed under the Mozilla Public License, Version 2.0.",
     ),
     "cc-by": (
@@ -76,6 +103,9 @@ BUCKETS = 1 << 14
 UNKNOWN_LINES = 4_000
 VARIANTS = 24
 CONFIRM = 0.7
+# Signs of a comment's blank line; where a paragraph ends: blank lines, a line break behind a sentence
+SIGNS = "\n\t#*/;%-"
+BREAK = r"\n[\s#*/;%-]*\n|\n(?<=[.!?:;…。！？][\"'”’»)\]]{0,2}[ \t]{0,4}\n)"
 #: Word pairs that a part of a template shares with it, at least.
 PART_PAIRS = 4
 
@@ -84,11 +114,19 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+def _paragraphs(text: Column) -> Column:
+    """The paragraphs of a text, with the line breaks inside them."""
+    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"\R", "\n"), BREAK)
+    return F.filter(parts, lambda x: F.trim(F.translate(x, SIGNS, "")) != "")
+
+
 def paragraphs(documents: DataFrame) -> DataFrame:
-    """(doc_id, row, line): non-blank lines."""
-    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines = own.select("doc_id", F.explode(F.split(F.coalesce("text", F.lit("")), r"\R")).alias("line"))
-    return lines.where(F.trim("line") != "")
+    """(doc_id, row, at, line): each paragraph as a whole, and its lines if it has several."""
+    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "text")
+    whole = own.select("doc_id", "row", F.posexplode(_paragraphs(F.col("text"))).alias("at", "whole"))
+    several = F.filter(F.split("whole", "\n"), lambda x: F.trim(x) != "")
+    lines = F.when(F.size(several) > 1, F.concat(F.array("whole"), several)).otherwise(F.array("whole"))
+    return whole.select("doc_id", "row", "at", F.explode(lines).alias("line"))
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -118,8 +156,8 @@ class Classifier:
         known = known.withColumn("words", F.when(F.col("v") % 2 == 1, F.concat(kept, around)).otherwise(kept))
         lines = paragraphs(documents)
         total = lines.count()
-        # a line near a template would be no unknown one; the words licen[cs]e and copyright keep it out
-        clean = lines.where(~F.lower("line").rlike(r"licen[cs]e|copyright|public domain|rights reserved|spdx|cc by"))
+        # a line near a template would be no unknown one; words that the templates hold keep it out
+        clean = lines.where(~F.lower("line").rlike(r"licen[cs]e|copyright|public domain|rights reserved|spdx|cc by|warrant|redistribution|hereby granted|liable for any|notice shall"))
         share = min(1.0, unknown / max(total, 1))
         # single lines are drawn, so a line that repeats is not drawn by its content alone
         some = clean.where(F.pmod(F.xxhash64("doc_id", "line"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
@@ -141,11 +179,11 @@ class Classifier:
         return scored.withColumn("best", (F.array_position(F.slice("p", 2, len(FAMILIES)), best) - 1).cast("int")).drop("p")
 
     def known(self, lines: DataFrame) -> DataFrame:
-        """(doc_id, words, family, probability) of the lines of (doc_id, line) that are of a family."""
+        """(doc_id, row, at, words, family, probability) of the lines of ``paragraphs`` that are of a family."""
         scored = self.calibration.transform(self._any(_vectors(lines.withColumn("words", _words(F.col("line"))))))
         family = F.element_at(F.array(*map(F.lit, FAMILIES)), F.col("best") + 1)
         found = scored.where("prediction >= 0.5")
-        return found.select("doc_id", "words", family.alias("family"), F.col("prediction").alias("probability"))
+        return found.select("doc_id", "row", "at", "words", family.alias("family"), F.col("prediction").alias("probability"))
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -178,13 +216,13 @@ def scan(documents: DataFrame) -> DataFrame:
     """(doc_id, n_paragraphs, n_licensed, n_confirmed, families) per row of ``documents``."""
     # written once: what follows reads the few known lines, not the scores again
     found = confirmed(materialize(Classifier(documents).known(paragraphs(documents)), "licence_lines"))
+    place = F.struct("row", "at")
     per_doc = found.groupBy("doc_id").agg(
-        F.count("*").alias("n_licensed"),
-        F.sum(F.col("confirmed").cast("long")).alias("n_confirmed"),
+        F.count_distinct(place).alias("n_licensed"),
+        F.count_distinct(F.when(F.col("confirmed"), place)).alias("n_confirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
     )
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), r"\R"), lambda x: F.trim(x) != "")
-    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.size(lines).cast("long").alias("n_paragraphs"))
+    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.size(_paragraphs(F.col("text"))).cast("long").alias("n_paragraphs"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     out = own.join(per_doc, own["doc_id"].eqNullSafe(per_doc["doc_id"]), "left").drop(per_doc["doc_id"])
     return out.select("doc_id", "n_paragraphs", zero("n_licensed"), zero("n_confirmed"), F.coalesce("families", F.lit("")).alias("families"))

@@ -245,3 +245,56 @@ def test_lines_of_the_tables(spark):
     assert [found[90_000 + i] for i in range(len(lines))] == [f for _, f in lines]
     told = {r["doc_id"] for r in docs.where("text rlike '(^|\n)All rights reserved[.](\n|$)'").collect()}
     assert len(told) > 1 and all("proprietary" in found[d].split(",") for d in told)
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version."""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer."""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+
+
+def test_wrapped_notices(spark):
+    told = [(MIT, "mit"), (AS_IS, "mit"), (GPL, "gpl"), (LGPL, "lgpl"), (BSD, "bsd"), (APACHE, "apache-2.0"), (MPL, "mpl-2.0")]
+    told += [("MIT License\n\nCopyright (c) 2020 Acme\n\n" + MIT, "mit"), (MIT.replace("\n", "\r\n"), "mit"), (MIT.replace("\n", " "), "mit")]
+    told += [("A walk in the hills\nby the old road\nReleased under the MIT License.\nAnd home", "mit")]
+    told += [("The committee met in the hall and agreed\nthat the notes be kept\nby the clerk.\n\nNobody objected.", "")]
+    made = spark.createDataFrame([(90_000 + i, t) for i, (t, _) in enumerate(told)], "doc_id bigint, text string")
+    docs = read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").unionByName(made)
+    rows = {r["doc_id"]: r for r in licences.scan(docs).collect()}
+    assert [(i, rows[90_000 + i]["families"]) for i in range(len(told))] == [(i, f) for i, (_, f) in enumerate(told)]
+    assert [rows[90_000 + i]["n_paragraphs"] for i in (0, 2, 4, 11)] == [1, 1, 2, 2]
+    assert all(r["n_confirmed"] <= r["n_licensed"] <= r["n_paragraphs"] for r in rows.values())
