@@ -162,7 +162,7 @@ class Classifier:
         # single lines are drawn, so a line that repeats is not drawn by its content alone
         some = clean.where(F.pmod(F.xxhash64("doc_id", "line"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
         other = some.select(
-            F.lit(0.0).alias("label"), F.slice(_words(F.col("line")), 1, 200).alias("words"), F.pmod(F.xxhash64("line"), F.lit(4)).alias("v")
+            F.lit(0.0).alias("label"), _words(F.col("line")).alias("words"), F.pmod(F.xxhash64("line"), F.lit(4)).alias("v")
         )
         rows = known.select("label", "words", (F.col("v") % 4).cast("long").alias("v")).unionByName(other)
         # an empty corpus still needs an unknown class

@@ -298,3 +298,16 @@ def test_wrapped_notices(spark):
     assert [(i, rows[90_000 + i]["families"]) for i in range(len(told))] == [(i, f) for i, (_, f) in enumerate(told)]
     assert [rows[90_000 + i]["n_paragraphs"] for i in (0, 2, 4, 11)] == [1, 1, 2, 2]
     assert all(r["n_confirmed"] <= r["n_licensed"] <= r["n_paragraphs"] for r in rows.values())
+
+
+def test_unknown_lines_are_whole(spark, monkeypatch):
+    longest, vectors = [], licences._vectors
+
+    def seen(df):
+        longest.append(df.where("label = 0").agg(F.max(F.size("words"))).first()[0])
+        return vectors(df)
+
+    monkeypatch.setattr(licences, "_vectors", seen)
+    docs = spark.createDataFrame([(i, "one two three four " * 300) for i in range(40)], "doc_id bigint, text string")
+    licences.Classifier(docs)
+    assert longest[0] == 1_200
