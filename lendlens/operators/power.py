@@ -101,11 +101,12 @@ def fit_lambdas(df: DataFrame, cols: list[str]) -> dict[str, float]:
     """Maximum-likelihood lambda per column by grid refinement, all columns in the same pass.
 
     Each pass narrows the interval tenfold around the best point; a best point at an end moves and
-    widens the interval instead, as the search range is not bounded.
+    widens the interval instead, as the search range is not bounded. A column whose interval has not closed
+    after ``MAX_PASSES`` passes is left out.
     """
     if not cols:
         return {}
-    best: dict[int, float] = {}
+    closed: dict[int, float] = {}
     bounds = {c: GRID_START for c in range(len(cols))}
     # stays in memory or on local disk between the passes; a lost part is recomputed from the mart
     logs = signed_logs(df, cols).persist()
@@ -117,19 +118,21 @@ def fit_lambdas(df: DataFrame, cols: list[str]) -> dict[str, float]:
             for c in grids:
                 if c not in top:
                     continue  # constant, or no lambda without overflow
-                best[c] = lam = top[c]
+                lam = top[c]
                 lo, hi = bounds[c]
                 step = (hi - lo) / (GRID_POINTS - 1)
                 if lam in (grids[c][0], grids[c][-1]):
                     following[c] = (lam - (hi - lo), lam + (hi - lo))
                 elif step > LAST_STEP:
                     following[c] = (lam - step, lam + step)
+                else:
+                    closed[c] = lam
             bounds = following
             if not bounds:
                 break
     finally:
         logs.unpersist()
-    return {cols[c]: lam for c, lam in sorted(best.items())}
+    return {cols[c]: lam for c, lam in sorted(closed.items())}
 
 
 def _best_points(grid: DataFrame) -> dict[int, float]:

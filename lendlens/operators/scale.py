@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from lendlens.functions.numeric import sql_double, sql_name
 
-EPS = 2.220446049250313e-16
-
 
 @dataclass(frozen=True)
 class Scaler:
@@ -42,14 +40,13 @@ def scaler_from_table(df: DataFrame) -> Scaler:
 
 def _fit(vectors: DataFrame, names: list[str]) -> Scaler:
     """One pass with a fixed-size buffer per task, for any number of columns."""
-    row = vectors.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("_v")).alias("s")).first()["s"]
+    row = vectors.select(Summarizer.metrics("count", "mean", "variance", "min", "max").summary(F.col("_v")).alias("s")).first()["s"]
     n = row["count"]
     stds = []
-    for mean, var in zip(row["mean"], row["variance"]):
+    for var, low, high in zip(row["variance"], row["min"], row["max"]):
         pop = max(float(var), 0.0) * (n - 1) / n if n > 1 else 0.0
-        # rounding noise around a constant is a constant
-        constant = pop <= n * EPS * pop + (n * float(mean) * EPS) ** 2
-        stds.append(0.0 if constant else pop**0.5)
+        # the variance of a constant may be rounding noise
+        stds.append(0.0 if low == high else pop**0.5)
     return Scaler(tuple(names), tuple(float(m) for m in row["mean"]), tuple(stds))
 
 

@@ -54,3 +54,9 @@ def test_apply_keeps_other_columns(spark):
     out = power.apply_power(frame(spark), {"AMT_A": 0.0})
     assert out.columns == ["AMT_A", "AMT_CONST"]
     assert out.agg(F.max("AMT_A")).first()[0] == pytest.approx(np.log1p(21))
+
+
+def test_lambda_whose_interval_stays_open_is_left_out(spark, monkeypatch):
+    assert set(power.fit_lambdas(frame(spark), ["AMT_A"])) == {"AMT_A"}
+    monkeypatch.setattr(power, "MAX_PASSES", 2)
+    assert power.fit_lambdas(frame(spark), ["AMT_A"]) == {}

@@ -65,3 +65,9 @@ def test_vector_scaler(spark):
     df = spark.createDataFrame([([1.0, 5.0],), ([3.0, 5.0],)], "v array<double>")
     fitted = scale.fit_vector_scaler(df, "v", 2)
     assert [r["features"] for r in scale.scale_vector(df, "v", fitted).collect()] == [[-1.0, 0.0], [1.0, 0.0]]
+
+
+def test_varying_column_is_no_constant_at_any_size(spark):
+    df = spark.range(200).selectExpr("1e14 + 2 * (id % 2) - 1 AS x", "0.1 AS same")
+    got = scale.fit_scaler(df, ["x", "same"])
+    assert got.stds[0] == pytest.approx(1.0, rel=0.05) and got.stds[1] == 0.0
