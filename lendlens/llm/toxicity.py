@@ -106,7 +106,8 @@ def _sample(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     own = own.withColumn("draw", draw).withColumn("weight", 1 / share).where(F.col("draw") < share)
     own = own.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"), "weight", F.xxhash64(F.lit("fold"), "doc_id").alias("draw"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(own, "doc_id")
+    # about ``sample`` rows of a few numbers; the texts stay where they are
+    return texts.join(F.broadcast(own), "doc_id")
 
 
 def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
