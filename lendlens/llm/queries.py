@@ -13,6 +13,7 @@ from lendlens.llm import (
     minhash,
     packing,
     pii,
+    quality,
     suffix,
     tokens,
     toxicity,
@@ -63,6 +64,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    field = quality.fit(documents, read(spark, sf_dir, "labels"))
+    return quality.judged(quality.mark(documents, field)).drop("boilerplate")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +83,7 @@ QUERIES = {
         op8_packing,
         op9_licences,
         op10_decontaminate,
+        op12_quality,
     )
 }
 
