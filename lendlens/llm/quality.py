@@ -309,7 +309,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field
 
     kind = "low int, weight double, features binary, labels binary"
     rows = per_batch(_sample(documents, labels, sample), chains, kind).where("length(labels) > 0")
-    rows = materialize(rows.coalesce(8), "chains")
+    rows = materialize(rows.repartition(8), "chains")  # few rows, from a scan that keeps all its tasks
     if rows.select("low").distinct().count() < 2:
         return None
     x = _minimise(rows, np.zeros(len(FEATURES) + 4))

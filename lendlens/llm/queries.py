@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lendlens.llm import (
     decontaminate,
     fingerprints,
+    lexical,
     licences,
     minhash,
     packing,
@@ -70,6 +71,10 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(quality.mark(documents, field)).drop("boilerplate")
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -84,6 +89,7 @@ QUERIES = {
         op9_licences,
         op10_decontaminate,
         op12_quality,
+        op13_lexical,
     )
 }
 
@@ -100,4 +106,34 @@ ORACLE = {
           CASE WHEN first <> page_id THEN first END AS refers_to
         FROM p LEFT JOIN f USING (payload_digest)
     """,
+    "op13_lexical": r"""
+        WITH d AS (
+          SELECT doc_id, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+          FROM documents
+        ), b AS (
+          SELECT item_id, unnest(list_distinct(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+          FROM benchmark
+        ), s AS (
+          SELECT doc_id, len(terms)::BIGINT AS n, terms FROM d WHERE len(terms) > 0
+        ), g AS (
+          SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM s
+        ), t AS (
+          SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM s) GROUP BY ALL
+        ), f AS (
+          SELECT term, count(*)::BIGINT AS df FROM t GROUP BY term
+        ), w AS (
+          SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM f, g
+        ), r AS (
+          SELECT item_id, doc_id,
+            sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))))::BIGINT AS score
+          FROM b JOIN t USING (term) JOIN w USING (term) JOIN s USING (doc_id), g GROUP BY item_id, doc_id
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM r WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+    """,
 }
