@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.llm import (
+    alignment,
     decontaminate,
     fingerprints,
     lexical,
@@ -65,6 +66,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(read(spark, sf_dir, "documents"), *paths)
+
+
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     field = quality.fit(documents, read(spark, sf_dir, "labels"))
@@ -88,6 +94,7 @@ QUERIES = {
         op8_packing,
         op9_licences,
         op10_decontaminate,
+        op11_alignment,
         op12_quality,
         op13_lexical,
     )
