@@ -36,10 +36,12 @@ from lendlens.session import materialize
 
 #: Documents of a block, and postings (a pair in a document) after which it is closed.
 BLOCK_DOCS, BLOCK_POSTINGS = 4_096, 1_000_000
-#: Aligned words held by a task.
+#: Aligned words after which a task puts its cache aside; words of the one before are taken over when met again.
 CACHE = 150_000
+#: Documents whose unknown words are encoded together, and words of one call.
+TOGETHER, CALL = 64, 5_000
 
-_WORD = re.compile(r"(?<=\S) (?=\S)")
+_WORD = re.compile(r"(?<=\S)(?= \S)")
 _SPACE = "▁"
 
 
@@ -50,7 +52,7 @@ class Aligned(NamedTuple):
     n_a: int
     n_b: int
     groups: str
-    pairs: tuple[int, ...]  # a << 32 | b of each link
+    pairs: bytes  # a << 32 | b of each link, 64 bits
 
 
 def _byte_level() -> dict[str, int]:
@@ -68,58 +70,80 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         coded = _byte_level()
-        # an id that stands for no bytes of its own (a special token) never comes up
-        self.bytes_a = {
-            i: bytes(coded[c] for c in entry) for entry, i in self.a.get_vocab().items() if all(c in coded for c in entry)
-        }
+        vocabulary = self.a.get_vocab()
+        # a special token stands for no bytes of its own and never comes up
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for entry, i in vocabulary.items():
+            self.bytes_a[i] = bytes(coded.get(c, 63) for c in entry)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(names)
         ]
+        self.sizes_a, self.sizes_b = (np.array([len(t) for t in own]) for own in (self.bytes_a, self.bytes_b))
         # no piece goes on over a space, so words can be encoded apart
         self.apart = not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in names)
-        self.cache: dict[str, Aligned | None] = {}
-
-    def _link(self, data: bytes, a: list[int], b: list[int]) -> Aligned | None:
-        if b"".join(self.bytes_a.get(i, b"?") for i in a) != data or b"".join(self.bytes_b[i] for i in b) != data:
+        self.known: dict[str, Aligned | None] = {}
+        self.before: dict[str, Aligned | None] = {}
+
+    def _link(self, words: list[str]) -> list[Aligned] | None:
+        """The words, which follow each other, aligned; None if one of them has no tokens of its bytes."""
+        text = "".join(words)
+        data = text.encode()
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        b = self.b.encode(text[1:])  # B adds the first space
+        if b"".join(map(self.bytes_a.__getitem__, a)) != data or b"".join(map(self.bytes_b.__getitem__, b)) != data:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        word_ends = np.cumsum([len(w.encode()) for w in words])
+        if not np.isin(word_ends, ends, assume_unique=True).all():
             return None
-        groups, pairs = [], []
-        own_a, own_b = [], []
-        k = end_a = end_b = 0
-        for i in a:
-            own_a.append(i)
-            end_a += len(self.bytes_a[i])
-            while end_b < end_a:
-                own_b.append(b[k])
-                end_b += len(self.bytes_b[b[k]])
-                k += 1
-            if end_a == end_b:
-                groups.append(",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b)))
-                pairs.append(own_a[-1] << 32 | own_b[-1])
-                own_a, own_b = [], []
-        return Aligned(len(a), len(b), ";".join(groups), tuple(pairs))
+        # tokens by group, those of A first; what follows a token tells if its group or its word ends
+        marks_a, marks_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        marks_a[last_a], marks_b[last_b] = 1, 2
+        marks_b[np.searchsorted(ends_b, word_ends)] = 3
+        group = np.concatenate([2 * np.searchsorted(ends, ends_a), 2 * np.searchsorted(ends, ends_b) + 1])
+        order = np.argsort(group, kind="stable")
+        parts = [""] * (2 * len(order))
+        parts[::2] = map(str, np.concatenate([a, b])[order].tolist())
+        parts[1::2] = map(",|;\n".__getitem__, np.concatenate([marks_a, marks_b])[order].tolist())
+        groups = "".join(parts).split("\n")
+        pairs = (a[last_a] << 32 | b[last_b]).tobytes()
+        counts = [np.diff(np.searchsorted(e, word_ends, "right"), prepend=0).tolist() for e in (ends_a, ends_b)]
+        cuts = [0, *(8 * np.searchsorted(ends, word_ends, "right")).tolist()]
+        return [Aligned(x, y, g, pairs[i:j]) for x, y, g, i, j in zip(*counts, groups, cuts, cuts[1:])]
 
     def _learn(self, words: list[str]) -> None:
-        """``words`` begin with the space that B adds."""
-        a = self.a.encode_batch_fast(words, add_special_tokens=False)
-        b = self.b.encode([w[1:] for w in words], num_threads=1)
-        for word, x, y in zip(words, a, b):
-            self.cache[word] = self._link(word.encode(), x.ids, y)
-
-    def words(self, text: str) -> list[Aligned] | None:
-        """The text's words aligned, or None where it has no tokens."""
-        if not text or _SPACE in text:
-            return None
-        first, *rest = _WORD.split(" " + text) if self.apart else [" " + text]
-        own = [first, *[" " + w for w in rest]]
-        new = [w for w in set(own) if w not in self.cache]
-        if new:
-            if len(self.cache) + len(new) > CACHE:
-                self.cache.clear()
-                new = list(set(own))
-            self._learn(new)
-        found = list(map(self.cache.__getitem__, own))
-        return None if None in found else found
+        # a word that ends with white space would join the next one's
+        alone = [[w] for w in words if w[-1].isspace()]
+        others = [w for w in words if not w[-1].isspace()]
+        for call in [others[k : k + CALL] for k in range(0, len(others), CALL)] + alone:
+            found = self._link(call)
+            if found is None:
+                found = [(self._link([w]) or [None])[0] for w in call]
+            self.known.update(zip(call, found))
+
+    def align(self, texts: list[str]) -> list[list[Aligned] | None]:
+        """Each text's words aligned, or None where it has no tokens."""
+        split = []
+        for text in texts:
+            if not text or _SPACE in text:
+                split.append([])
+            else:
+                split.append(_WORD.split(" " + text) if self.apart else [" " + text])
+        if len(self.known) > CACHE:
+            self.known, self.before = {}, self.known
+        new = set(chain.from_iterable(split)).difference(self.known)
+        again = {w: self.before[w] for w in new if w in self.before}
+        self.known.update(again)
+        self._learn(list(new.difference(again)))
+        out = []
+        for own in split:
+            found = list(map(self.known.__getitem__, own))
+            out.append(None if not found or None in found else found)
+        return out
 
 
 # ---- compressed bitmaps of the documents of a block -------------------------------------------------------------
@@ -205,21 +229,20 @@ def invert(documents: DataFrame, byte_level: str, pieces: str) -> DataFrame:
                 })
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = aligner.words(text.as_py())
-                pairs = Counter(chain.from_iterable(w.pairs for w in words)) if words else {}
-                if words:
-                    groups = sha256(";".join(w.groups for w in words))
-                    n = pairs.total()
-                    rows.append((doc, sum(w.n_a for w in words), sum(w.n_b for w in words), n, n, groups))
-                else:
-                    rows.append((doc, 0, 0, 0, 0, ""))
-                keys.append(np.fromiter(pairs.keys(), np.int64, len(pairs)))
-                times.append(np.fromiter(pairs.values(), np.int64, len(pairs)))
-                postings += len(pairs)
-                if len(rows) == BLOCK_DOCS or postings >= BLOCK_POSTINGS:
-                    yield from close()
-                    keys, times, rows, postings, block = [], [], [], 0, block + 1
+            for start in range(0, batch.num_rows, TOGETHER):
+                some = batch.slice(start, TOGETHER)
+                for doc, words in zip(some.column(0).to_pylist(), aligner.align(some.column(1).to_pylist())):
+                    links = np.frombuffer(b"".join(w.pairs for w in words or ()), np.int64)
+                    pairs, count = np.unique(links, return_counts=True)
+                    groups = sha256(";".join(w.groups for w in words)) if words else ""
+                    n_a, n_b = (sum(w[k] for w in words or ()) for k in (0, 1))
+                    rows.append((doc, n_a, n_b, len(links), len(links), groups))
+                    keys.append(pairs)
+                    times.append(count)
+                    postings += len(pairs)
+                    if len(rows) == BLOCK_DOCS or postings >= BLOCK_POSTINGS:
+                        yield from close()
+                        keys, times, rows, postings, block = [], [], [], 0, block + 1
         if rows:
             yield from close()
 
