@@ -28,7 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlens.llm.common import load_tokenizer, sha256
@@ -270,8 +270,8 @@ def pair_counts(inverted: DataFrame) -> DataFrame:
     kind = "a bigint, b bigint, documents bigint, links bigint"
     partial = inverted.where("a IS NOT NULL").select("a", "b", "planes").mapInArrow(run, kind)
     counts = partial.groupBy("a", "b").agg(F.sum("documents").alias("documents"), F.sum("links").alias("links"))
-    highest = counts.groupBy("b").agg(F.max("links").alias("highest"))
-    return counts.join(highest, "b").select("a", "b", "documents", "links", (F.col("links") == F.col("highest")).alias("best"))
+    highest = F.max("links").over(Window.partitionBy("b"))
+    return counts.select("a", "b", "documents", "links", (F.col("links") == highest).alias("best"))
 
 
 def scored(inverted: DataFrame, counts: DataFrame) -> DataFrame:
