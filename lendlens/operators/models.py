@@ -1,4 +1,4 @@
-"""The eight classifiers as ``pyspark.ml`` estimators, with scoring, saving and the experiment sweep."""
+"""The eight classifiers, with scoring, saving and the experiment sweep."""
 
 from __future__ import annotations
 
@@ -12,12 +12,8 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
-    GBTClassificationModel,
-    GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
@@ -26,11 +22,13 @@ from pyspark.sql import functions as F
 
 from lendlens.operators.metrics import threshold_search
 from lendlens.operators.parallel import PARALLELISM, side_by_side
+from lendlens.operators.trees import Boosting, Forest, TreeModel
 from lendlens.session import materialize, work_dir
 
 SEED = 42
 VECTOR = "_vec"
 WEIGHT = "_weight"
+DRAW = "_draw"
 
 # Names in menu order, and the short list for a quick run
 MODEL_NAMES = (
@@ -47,18 +45,20 @@ QUICK_MODELS = ("LightGBM", "Random_Forest", "Logistic_Regression")
 BOOSTED = ("Gradient_Boosting", "LightGBM")
 
 
+# Codes of whole lists; 1, 2, … stand for the names in menu order
+LIST_CODES = {"0": MODEL_NAMES, "77": MODEL_NAMES, "99": QUICK_MODELS, "all": MODEL_NAMES, "quick": QUICK_MODELS}
+
+
 def select_models(selection: str | None = None) -> list[str]:
-    """'0' or '77': all; '99': quick list; '1,3,5': by number; anything unreadable: quick list."""
-    text = (selection or "").strip()
-    if text in ("0", "77"):
-        return list(MODEL_NAMES)
-    if text == "99":
-        return list(QUICK_MODELS)
-    try:
-        numbers = [int(part) for part in text.split(",")]
-    except ValueError:
+    """'all', 'quick', or names parted by commas; codes stand for them. A number without a name is passed
+    over, any other unknown word makes it the quick list."""
+    words = [w.strip() for w in (selection or "quick").split(",")]
+    if len(words) == 1 and words[0] in LIST_CODES:
+        return list(LIST_CODES[words[0]])
+    named = {str(k): name for k, name in enumerate(MODEL_NAMES, 1)} | {name: name for name in MODEL_NAMES}
+    if any(w not in named and not w.isdigit() for w in words):
         return list(QUICK_MODELS)
-    return [MODEL_NAMES[n - 1] for n in numbers if 1 <= n <= len(MODEL_NAMES)]
+    return [named[w] for w in words if w in named]
 
 
 @dataclass(frozen=True)
@@ -70,24 +70,25 @@ class Settings:
     max_iter: int = 1000
 
 
-def estimator(name: str, label: str, n_rows: int, settings: Settings | None = None) -> Estimator:
-    """A fresh estimator. Gradient_Boosting and LightGBM differ by their bins only (leaf-wise growth is
-    not available); Extra_Trees stands on a forest without bootstrap and with coarse cut points."""
+def estimator(name: str, label: str, n_rows: int, settings: Settings | None = None) -> Estimator | Forest | Boosting:
+    """A fresh estimator."""
     s = settings or Settings()
     io = {"featuresCol": VECTOR, "labelCol": label}
-    tree = {**io, "seed": SEED, "maxMemoryInMB": 1024}
-    boost = {**tree, "maxIter": s.rounds, "maxDepth": 5, "stepSize": 0.1, "checkpointInterval": 10}
-    forest = {**tree, "numTrees": s.trees, "maxDepth": 10, "featureSubsetStrategy": "sqrt"}
     logistic = {**io, "maxIter": s.max_iter, "elasticNetParam": 0.0, "standardization": False}
-    made: dict[str, Callable[[], Estimator]] = {
-        "Linear_Regression": lambda: LinearRegression(**io, regParam=0.0, solver="normal"),
+    made: dict[str, Callable[[], Estimator | Forest | Boosting]] = {
+        # by the normal equations, and iteratively beyond the width that those allow
+        "Linear_Regression": lambda: LinearRegression(**io, regParam=0.0, solver="auto"),
         # a penalty of 1 on the summed loss is 1/n on the mean loss
         "Logistic_Regression": lambda: LogisticRegression(**logistic, regParam=1.0 / n_rows),
-        "Decision_Tree": lambda: DecisionTreeClassifier(**tree, maxDepth=10, impurity="gini", maxBins=255),
-        "Random_Forest": lambda: RandomForestClassifier(**forest),
-        "Gradient_Boosting": lambda: GBTClassifier(**boost),
-        "LightGBM": lambda: GBTClassifier(**boost, maxBins=255),
-        "Extra_Trees": lambda: RandomForestClassifier(**forest, bootstrap=False, maxBins=8),
+        "Decision_Tree": lambda: DecisionTreeClassifier(
+            **io, seed=SEED, maxMemoryInMB=1024, maxDepth=10, impurity="gini", maxBins=255
+        ),
+        "Random_Forest": lambda: Forest(trees=s.trees, depth=10, seed=SEED),
+        "Gradient_Boosting": lambda: Boosting(
+            rounds=s.rounds, leaves=32, depth=5, min_rows=1, min_curvature=0.0, newton=False
+        ),
+        "LightGBM": lambda: Boosting(rounds=s.rounds, leaves=31, min_rows=20),
+        "Extra_Trees": lambda: Forest(trees=s.trees, depth=10, random_cuts=True, seed=SEED),
         "SVM": lambda: LogisticRegression(**logistic, regParam=1e-4, weightCol=WEIGHT),
     }
     if name not in made:
@@ -99,10 +100,10 @@ MODEL_CLASSES = {
     "Linear_Regression": LinearRegressionModel,
     "Logistic_Regression": LogisticRegressionModel,
     "Decision_Tree": DecisionTreeClassificationModel,
-    "Random_Forest": RandomForestClassificationModel,
-    "Gradient_Boosting": GBTClassificationModel,
-    "LightGBM": GBTClassificationModel,
-    "Extra_Trees": RandomForestClassificationModel,
+    "Random_Forest": TreeModel,
+    "Gradient_Boosting": TreeModel,
+    "LightGBM": TreeModel,
+    "Extra_Trees": TreeModel,
     "SVM": LogisticRegressionModel,
 }
 
@@ -110,7 +111,7 @@ MODEL_CLASSES = {
 @dataclass(frozen=True)
 class Fitted:
     name: str
-    model: Model
+    model: Model | TreeModel
     threshold: float = 0.5
 
 
@@ -126,11 +127,13 @@ def _packed(df: DataFrame, vec: str) -> DataFrame:
     return df.coalesce(max(1, math.ceil(df.count() * 8 * some[0] / PARTITION_BYTES)))
 
 
-def with_vector(df: DataFrame, vec: str, label: str | None = None) -> DataFrame:
-    """Adds the ML vector and, with a label, balanced class weights n / (2 * rows of the class)."""
+def with_vector(df: DataFrame, vec: str, label: str | None = None, key: str | None = None) -> DataFrame:
+    """Adds the ML vector and, with a label, what rows are drawn by (``key``, or else the row's numbers) and
+    balanced class weights n / (2 * rows of the class)."""
     out = df.withColumn(VECTOR, array_to_vector(F.col(vec)))
     if label is None:
         return out
+    out = out.withColumn(DRAW, F.xxhash64(key or vec))
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     weights = F.create_map(*[F.lit(v) for c, n in counts.items() for v in (c, total / (2.0 * n))])
@@ -138,17 +141,23 @@ def with_vector(df: DataFrame, vec: str, label: str | None = None) -> DataFrame:
 
 
 def fit_prepared(name: str, train: DataFrame, label: str, n_rows: int, settings: Settings | None = None) -> Fitted:
-    """Fit on rows that already carry the vector and weight columns."""
-    model = estimator(name, label, n_rows, settings).fit(train)
+    """Fit on rows that already carry the columns of ``with_vector``."""
+    made = estimator(name, label, n_rows, settings)
+    if not isinstance(made, Estimator):
+        rows = train.select(DRAW, label, vector_to_array(VECTOR).alias("numbers"))
+        return Fitted(name, made.fit(rows, "numbers", DRAW, label))
+    model = made.fit(train)
     if name != "Linear_Regression":
         return Fitted(name, model)
     raw = materialize(model.transform(train).select("prediction", label), "raw")
     return Fitted(name, model, threshold_search(raw, "prediction", label).first()["threshold"])
 
 
-def fit(name: str, train: DataFrame, vec: str, label: str, settings: Settings | None = None) -> Fitted:
-    work_dir(train.sparkSession)  # boosting cuts its lineage there
-    ready = with_vector(_packed(train, vec), vec, label).persist()
+def fit(
+    name: str, train: DataFrame, vec: str, label: str, settings: Settings | None = None, key: str | None = None
+) -> Fitted:
+    work_dir(train.sparkSession)  # passes over the rows write there
+    ready = with_vector(_packed(train, vec), vec, label, key).persist()
     try:
         return fit_prepared(name, ready, label, ready.count(), settings)
     finally:
@@ -157,6 +166,9 @@ def fit(name: str, train: DataFrame, vec: str, label: str, settings: Settings |
 
 def _add_score(df: DataFrame, fitted: Fitted, score: str, prediction: str) -> DataFrame:
     """Probability of class 1 and the predicted label; the vector column must be present."""
+    if isinstance(fitted.model, TreeModel):
+        scored = df.withColumn(score, fitted.model.score(vector_to_array(VECTOR)))
+        return scored.withColumn(prediction, (F.col(score) > 0.5).cast("int"))
     if fitted.name == "Linear_Regression":
         raw = fitted.model.setPredictionCol("_raw").transform(df)
         clipped = F.least(F.greatest(F.col("_raw"), F.lit(0.0)), F.lit(1.0))
@@ -190,7 +202,10 @@ def score_all(fitted: list[Fitted], df: DataFrame, vec: str, keep: list[str]) ->
 
 
 def save(spark: SparkSession, fitted: Fitted, path: str) -> None:
-    fitted.model.write().overwrite().save(f"{path}/model")
+    if isinstance(fitted.model, TreeModel):
+        fitted.model.save(spark, f"{path}/model")
+    else:
+        fitted.model.write().overwrite().save(f"{path}/model")
     rows = [(fitted.name, float(fitted.threshold))]
     spark.createDataFrame(rows, "name string, threshold double").coalesce(1).write.mode("overwrite").parquet(
         f"{path}/about"
@@ -199,7 +214,9 @@ def save(spark: SparkSession, fitted: Fitted, path: str) -> None:
 
 def load(spark: SparkSession, path: str) -> Fitted:
     about = spark.read.parquet(f"{path}/about").first()
-    return Fitted(about["name"], MODEL_CLASSES[about["name"]].load(f"{path}/model"), about["threshold"])
+    kind = MODEL_CLASSES[about["name"]]
+    model = kind.load(spark, f"{path}/model") if kind is TreeModel else kind.load(f"{path}/model")
+    return Fitted(about["name"], model, about["threshold"])
 
 
 @dataclass
@@ -227,7 +244,7 @@ def sweep(
     spark = next(iter(feature_sets.values())).train.sparkSession
     work_dir(spark)
     # persist() only marks the rows, the first fit of a set fills the cache
-    ready = {n: with_vector(_packed(d.train, "features"), "features", label).persist() for n, d in feature_sets.items()}
+    ready = {n: with_vector(_packed(d.train, "features"), "features", label, id_col).persist() for n, d in feature_sets.items()}
     sizes = {n: d.train.count() for n, d in feature_sets.items()}
     # the long fits of a set start first
     tasks = [(m, s) for s in feature_sets for m in sorted(models, key=lambda m: m not in BOOSTED)]
@@ -242,7 +259,7 @@ def sweep(
                 save(spark, fitted, f"{save_to}/{name}_{set_name}")
             return fitted, ""
         except Exception as problem:  # noqa: BLE001 - reported as a result row
-            return None, str(problem)[:500]
+            return None, str(problem)
         finally:
             with lock:
                 left[set_name] -= 1

@@ -103,6 +103,8 @@ def test_selection():
     assert models.select_models("0") == list(models.MODEL_NAMES) == models.select_models("77")
     assert models.select_models("99") == list(models.QUICK_MODELS) == models.select_models("x,1") == models.select_models(None)
     assert models.select_models("8, 1,40") == ["SVM", "Linear_Regression"]
+    assert models.select_models("all") == list(models.MODEL_NAMES) and models.select_models("") == list(models.QUICK_MODELS)
+    assert models.select_models("LightGBM,SVM") == ["LightGBM", "SVM"] and models.select_models("40") == []
 
 
 def test_sweep_goes_on_after_a_failure(spark, ready, monkeypatch):
