@@ -20,6 +20,7 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendlens.operators.descent import Descent, LinearModel
 from lendlens.operators.metrics import threshold_search
 from lendlens.operators.parallel import PARALLELISM, side_by_side
 from lendlens.operators.trees import Boosting, Forest, TreeModel
@@ -27,7 +28,6 @@ from lendlens.session import materialize, work_dir
 
 SEED = 42
 VECTOR = "_vec"
-WEIGHT = "_weight"
 DRAW = "_draw"
 
 # Names in menu order, and the short list for a quick run
@@ -70,12 +70,12 @@ class Settings:
     max_iter: int = 1000
 
 
-def estimator(name: str, label: str, n_rows: int, settings: Settings | None = None) -> Estimator | Forest | Boosting:
+def estimator(name: str, label: str, n_rows: int, settings: Settings | None = None) -> Estimator | Forest | Boosting | Descent:
     """A fresh estimator."""
     s = settings or Settings()
     io = {"featuresCol": VECTOR, "labelCol": label}
     logistic = {**io, "maxIter": s.max_iter, "elasticNetParam": 0.0, "standardization": False}
-    made: dict[str, Callable[[], Estimator | Forest | Boosting]] = {
+    made: dict[str, Callable[[], Estimator | Forest | Boosting | Descent]] = {
         # by the normal equations, and iteratively beyond the width that those allow
         "Linear_Regression": lambda: LinearRegression(**io, regParam=0.0, solver="auto"),
         # a penalty of 1 on the summed loss is 1/n on the mean loss
@@ -89,7 +89,7 @@ def estimator(name: str, label: str, n_rows: int, settings: Settings | None = No
         ),
         "LightGBM": lambda: Boosting(rounds=s.rounds, leaves=31, min_rows=20),
         "Extra_Trees": lambda: Forest(trees=s.trees, depth=10, random_cuts=True, seed=SEED),
-        "SVM": lambda: LogisticRegression(**logistic, regParam=1e-4, weightCol=WEIGHT),
+        "SVM": lambda: Descent(epochs=min(60, s.max_iter), seed=SEED),
     }
     if name not in made:
         raise ValueError(f"unknown model {name!r}")
@@ -104,14 +104,16 @@ MODEL_CLASSES = {
     "Gradient_Boosting": TreeModel,
     "LightGBM": TreeModel,
     "Extra_Trees": TreeModel,
-    "SVM": LogisticRegressionModel,
+    "SVM": LinearModel,
 }
+#: Models of this library; the others are of ``pyspark.ml``.
+OWN = (TreeModel, LinearModel)
 
 
 @dataclass(frozen=True)
 class Fitted:
     name: str
-    model: Model | TreeModel
+    model: Model | TreeModel | LinearModel
     threshold: float = 0.5
 
 
@@ -128,16 +130,9 @@ def _packed(df: DataFrame, vec: str) -> DataFrame:
 
 
 def with_vector(df: DataFrame, vec: str, label: str | None = None, key: str | None = None) -> DataFrame:
-    """Adds the ML vector and, with a label, what rows are drawn by (``key``, or else the row's numbers) and
-    balanced class weights n / (2 * rows of the class)."""
+    """Adds the ML vector and, with a label, what rows are drawn by: ``key``, or else the row's numbers."""
     out = df.withColumn(VECTOR, array_to_vector(F.col(vec)))
-    if label is None:
-        return out
-    out = out.withColumn(DRAW, F.xxhash64(key or vec))
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
-    total = sum(counts.values())
-    weights = F.create_map(*[F.lit(v) for c, n in counts.items() for v in (c, total / (2.0 * n))])
-    return out.withColumn(WEIGHT, weights[F.col(label)])
+    return out if label is None else out.withColumn(DRAW, F.xxhash64(key or vec))
 
 
 def fit_prepared(name: str, train: DataFrame, label: str, n_rows: int, settings: Settings | None = None) -> Fitted:
@@ -166,7 +161,7 @@ def fit(
 
 def _add_score(df: DataFrame, fitted: Fitted, score: str, prediction: str) -> DataFrame:
     """Probability of class 1 and the predicted label; the vector column must be present."""
-    if isinstance(fitted.model, TreeModel):
+    if isinstance(fitted.model, OWN):
         scored = df.withColumn(score, fitted.model.score(vector_to_array(VECTOR)))
         return scored.withColumn(prediction, (F.col(score) > 0.5).cast("int"))
     if fitted.name == "Linear_Regression":
@@ -202,7 +197,7 @@ def score_all(fitted: list[Fitted], df: DataFrame, vec: str, keep: list[str]) ->
 
 
 def save(spark: SparkSession, fitted: Fitted, path: str) -> None:
-    if isinstance(fitted.model, TreeModel):
+    if isinstance(fitted.model, OWN):
         fitted.model.save(spark, f"{path}/model")
     else:
         fitted.model.write().overwrite().save(f"{path}/model")
@@ -215,7 +210,7 @@ def save(spark: SparkSession, fitted: Fitted, path: str) -> None:
 def load(spark: SparkSession, path: str) -> Fitted:
     about = spark.read.parquet(f"{path}/about").first()
     kind = MODEL_CLASSES[about["name"]]
-    model = kind.load(spark, f"{path}/model") if kind is TreeModel else kind.load(f"{path}/model")
+    model = kind.load(spark, f"{path}/model") if kind in OWN else kind.load(f"{path}/model")
     return Fitted(about["name"], model, about["threshold"])
 
 
