@@ -501,6 +501,14 @@ ORACLE["thin_family_gain"] = f"""WITH {SLICES}, {_WIDE.format(v='auc_thin_file',
 SELECT model_name, 'alternative_vs_traditional' AS comparison, {r('l - t', 9)} AS gain, 0::INTEGER AS same_rows FROM wide WHERE l - t IS NOT NULL
 UNION ALL SELECT model_name, 'all_vs_traditional', {r('a - t', 9)}, 1::INTEGER FROM wide WHERE a - t IS NOT NULL"""
 
+ORACLE["thin_gain_summary"] = f"""WITH {SLICES}, {_WIDE.format(v='auc_thin_file', src='sliced')},
+gains AS (
+  SELECT model_name, 'alternative_vs_traditional' AS comparison, l - t AS gain FROM wide WHERE l - t IS NOT NULL
+  UNION ALL SELECT model_name, 'all_vs_traditional', a - t FROM wide WHERE a - t IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY comparison ORDER BY gain DESC, model_name) AS place FROM gains)
+SELECT comparison, {r('avg(gain)', 9)} AS mean_gain, {r('max(gain)', 9)} AS max_gain,
+  max(model_name) FILTER (place = 1) AS best_model FROM ranked GROUP BY comparison"""
+
 # ---- reports ---------------------------------------------------------------------------------
 
 IMPACT = f"""{SCORES}, edges AS (SELECT quantile_cont(trad, 0.2) AS low_trad FROM signals),
@@ -554,6 +562,9 @@ major AS (SELECT max(cnt) AS n_major FROM parts WHERE part = 'train'),
 final AS (SELECT part, TARGET, CASE WHEN part = 'train' AND TARGET = 1 THEN cnt + trunc(0.5::DOUBLE * n_major - cnt)::BIGINT ELSE cnt END AS cnt FROM parts, major)
 SELECT feature_set, part, TARGET, cnt::BIGINT AS cnt FROM final, (VALUES ('all'), ('traditional'), ('alternative')) f(feature_set)"""
 
+ORACLE["prepared_digests"] = f"""SELECT feature_set, part, sum(cnt)::BIGINT AS n, 1::INTEGER AS unchanged
+FROM ({ORACLE["prepared_roundtrip"]}) GROUP BY feature_set, part"""
+
 _new_numeric = " UNION ALL ".join(
     f"SELECT SK_ID_CURR, is_val, '{c}' AS feature, coalesce({expr}, 0)::DOUBLE AS x FROM rows"
     for c, expr in (

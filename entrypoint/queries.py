@@ -16,7 +16,7 @@ from lendlens.operators.neighbors import neighbors
 from lendlens.operators.oversample import new_row_count, smote, synthetic_rows
 from lendlens.plans import experiments
 from lendlens.plans.mart import applicant_mart, credit_history
-from lendlens.plans.prepare import Params, Prepared, apply_params, load_or_prepare
+from lendlens.plans.prepare import Params, Prepared, apply_params, load_or_prepare, verify
 from lendlens.session import materialize, work_dir
 
 KEY, TARGET = t.KEY, t.TARGET
@@ -453,6 +453,11 @@ def thin_family_gain(spark, d):
     return rounded(gains.withColumn("same_rows", F.col("same_rows").cast("int")), 9)
 
 
+@query
+def thin_gain_summary(spark, d):
+    return rounded(report.thin_gain_summary(report.thin_family_gain(_thin_metrics(spark, d))), 9)
+
+
 # ---- reports ---------------------------------------------------------------------------------
 
 
@@ -556,6 +561,13 @@ def prepared_roundtrip(spark, d):
     return parts.select("feature_set", "part", TARGET, "cnt")
 
 
+@query
+def prepared_digests(spark, d):
+    """Rows of every prepared set, and whether its content is what the manifest says."""
+    rows = verify(prepared(spark, d))
+    return rows.withColumn("unchanged", F.col("unchanged").cast("int"))
+
+
 NEW_LAMBDAS = {"AMT_CREDIT": 0.5, "AMT_INCOME_TOTAL": 0.25}
 
 

@@ -38,7 +38,8 @@ def derive(df: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Infinity, NaN and NULL become 0; in text columns NULL becomes the category '0'."""
+    """Infinity, NaN and NULL become 0; in text columns NULL becomes the category '0'. Truth values become 0 and
+    1; dates and times become text, as a file without types has them."""
     out = []
     for field in df.schema.fields:
         name = sql_name(field.name)
@@ -52,6 +53,10 @@ def clean(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
             out.append(f"coalesce({name}, CAST(0 AS {field.dataType.simpleString()})) AS {name}")
         elif isinstance(field.dataType, T.StringType):
             out.append(f"coalesce({name}, '0') AS {name}")
+        elif isinstance(field.dataType, T.BooleanType):
+            out.append(f"coalesce(int({name}), 0) AS {name}")
+        elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            out.append(f"coalesce(string({name}), '0') AS {name}")
         else:
             out.append(name)
     return df.selectExpr(*out)

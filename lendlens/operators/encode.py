@@ -72,7 +72,8 @@ def fit_categories(df: DataFrame, cols: list[str] | None = None, k: int = TOP) -
 def apply_categories(df: DataFrame, encodings: list[Encoding]) -> DataFrame:
     """A value not seen in the fit becomes 0 under 'label', as missing numbers do, and all zeros under 'onehot'.
 
-    Label codes replace their column in place; one-hot columns are appended and their source dropped.
+    Label codes replace their column in place; one-hot columns are appended and their source dropped. A name
+    that is taken, also in other letter case (Spark tells columns apart without it), gets a number.
     """
     labels = {e.column: e for e in encodings if e.kind == "label"}
     onehot = {e.column: e for e in encodings if e.kind == "onehot"}
@@ -88,9 +89,18 @@ def apply_categories(df: DataFrame, encodings: list[Encoding]) -> DataFrame:
             out.append(f"CASE coalesce({name}, '0') {cases} ELSE 0 END AS {name}")
         elif c not in onehot:
             out.append(name)
+    taken = {c.lower() for c in df.columns if c not in onehot}
+
+    def free(name: str) -> str:
+        own, k = name, 2
+        while own.lower() in taken:
+            own, k = f"{name}~{k}", k + 1
+        taken.add(own.lower())
+        return own
+
     for e in onehot.values():
         filled = f"coalesce({sql_name(e.column)}, '0')"
-        out.extend(f"int({filled} = {text(v)}) AS {sql_name(n)}" for v, n in zip(e.values, e.outputs))
+        out.extend(f"int({filled} = {text(v)}) AS {sql_name(free(n))}" for v, n in zip(e.values, e.outputs))
     return df.selectExpr(*out)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Callable
@@ -25,6 +26,7 @@ from lendlens.operators.metrics import threshold_search
 from lendlens.operators.parallel import PARALLELISM, side_by_side
 from lendlens.operators.trees import Boosting, Forest, TreeModel
 from lendlens.session import materialize, work_dir
+from lendlens.sources.tables import exists
 
 SEED = 42
 VECTOR = "_vec"
@@ -229,29 +231,41 @@ def sweep(
     settings: Settings | None = None,
     save_to: str | None = None,
     parallelism: int = PARALLELISM,
+    run: str = "",
 ) -> Sweep:
     """Fit every model on every feature set and score its validation rows.
 
     A failing fit becomes a row of ``errors`` and does not stop the others. ``parallelism`` fits run side by
-    side, set after set; the train rows of a set stay cached from its first fit to its last. Validation
-    rows are read once per feature set for all models together.
+    side, set after set; the train rows of a set stay cached from its first fit to its last. With
+    ``save_to``, a fit that ends is entered in the ledger there, model first and scores last, and a sweep
+    that is started again with the same ``run`` (a name for data and settings) takes it from there. Without,
+    validation rows are read once per feature set for all models together.
     """
     spark = next(iter(feature_sets.values())).train.sparkSession
     work_dir(spark)
-    # persist() only marks the rows, the first fit of a set fills the cache
-    ready = {n: with_vector(_packed(d.train, "features"), "features", label, id_col).persist() for n, d in feature_sets.items()}
-    sizes = {n: d.train.count() for n, d in feature_sets.items()}
+    schema = f"{id_col} bigint, {label} int, model_name string, score double, prediction int, feature_set string"
+    ledger = f"{save_to}/ledger-{hashlib.sha256(f'{run}|{settings or Settings()}'.encode()).hexdigest()[:16]}" if save_to else None
     # the long fits of a set start first
     tasks = [(m, s) for s in feature_sets for m in sorted(models, key=lambda m: m not in BOOSTED)]
-    left = Counter(set_name for _, set_name in tasks)
+    entry = {task: f"{ledger}/{task[0]}_{task[1]}" for task in tasks}
+    known = {task for task in tasks if ledger and exists(spark, f"{entry[task]}/_SUCCESS")}
+    left = Counter(set_name for _, set_name in (t for t in tasks if t not in known))
+    # persist() only marks the rows, the first fit of a set fills the cache
+    ready = {n: with_vector(_packed(feature_sets[n].train, "features"), "features", label, id_col).persist() for n in left}
+    sizes = {n: feature_sets[n].train.count() for n in left}
     lock = Lock()
 
     def one(task: tuple[str, str]) -> tuple[Fitted | None, str]:
         name, set_name = task
+        if task in known:
+            return load(spark, f"{save_to}/{name}_{set_name}"), ""
         try:
             fitted = fit_prepared(name, ready[set_name], label, sizes[set_name], settings)
             if save_to:
                 save(spark, fitted, f"{save_to}/{name}_{set_name}")
+                own = score_all([fitted], feature_sets[set_name].val, "features", [id_col, label])
+                own = own.withColumn("feature_set", F.lit(set_name))
+                own.select([c.split()[0] for c in schema.split(", ")]).write.mode("overwrite").parquet(entry[task])
             return fitted, ""
         except Exception as problem:  # noqa: BLE001 - reported as a result row
             return None, str(problem)
@@ -265,12 +279,13 @@ def sweep(
 
     kept = {task: fitted for task, (fitted, _) in outcomes.items() if fitted is not None}
     errors = [(*task, problem) for task, (fitted, problem) in outcomes.items() if fitted is None]
-    schema = f"{id_col} bigint, {label} int, model_name string, score double, prediction int, feature_set string"
+    failed = spark.createDataFrame(errors, "model_name string, feature_set string, error string")
+    if ledger and kept:
+        return Sweep(spark.read.schema(schema).parquet(*[entry[t] for t in kept]), failed, kept)
     scores = spark.createDataFrame([], schema)
     for set_name, data in feature_sets.items():
         done = [kept[(name, set_name)] for name in models if (name, set_name) in kept]
         if done:
             scored = score_all(done, data.val, "features", [id_col, label])
             scores = scores.unionByName(scored.withColumn("feature_set", F.lit(set_name)))
-    failed = spark.createDataFrame(errors, "model_name string, feature_set string, error string")
     return Sweep(materialize(scores, "scores"), failed, kept)

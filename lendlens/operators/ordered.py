@@ -17,8 +17,13 @@ from lendlens.session import materialize
 
 def running_totals(df: DataFrame, order: list[str], totals: list[str], by: list[str] | None = None) -> DataFrame:
     """Adds, for each column t of ``totals``, ``cum_t`` (inclusive running sum in ascending ``order``)
-    and ``all_t`` (sum over the whole group). ``by`` columns and ``order`` columns must not be null."""
-    by = by or []
+    and ``all_t`` (sum over the whole group). A NULL in ``by`` is a group of its own; ``order`` columns must
+    not be null."""
+    columns = df.columns
+    own = by or []
+    # a struct is never NULL and its NULL fields are equal, so joins on it keep such groups
+    by = ["_by"] if own else []
+    df = df.withColumn("_by", F.struct(*own)) if own else df
     # no fixed number: adjacent small ranges are merged by their measured size, which keeps their order
     placed = materialize(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()), "ranges")
     per_range = placed.groupBy(*by, "_range").agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
@@ -38,7 +43,7 @@ def running_totals(df: DataFrame, order: list[str], totals: list[str], by: list[
     # same keys as the window above: the large side is not shuffled again
     joined = running.join(offsets, [*by, "_range"])
     return joined.select(
-        *df.columns,
+        *columns,
         *[(F.col(f"_inside_{t}") + F.col(f"_before_{t}")).alias(f"cum_{t}") for t in totals],
         *[f"all_{t}" for t in totals],
     )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.functions import numeric_columns, yeo_johnson
@@ -23,9 +26,8 @@ CANDIDATE_PART = "AMT_"
 SKEW_LIMIT = 0.5
 
 GRID_POINTS = 21
-GRID_START = (-2.0, 2.0)
-LAST_STEP = 2.5e-6
-MAX_PASSES = 40
+#: Relative step at which the search for a lambda ends.
+CLOSED = 1e-9
 
 
 def candidates(df: DataFrame) -> list[str]:
@@ -97,48 +99,123 @@ def even_grid(lo: float, hi: float, points: int = GRID_POINTS) -> list[float]:
     return [lo + (hi - lo) * i / (points - 1) for i in range(points)]
 
 
+@dataclass
+class _Search:
+    """The search for one column, in k = lambda * scale: where the likelihood still rises, where it falls."""
+
+    scale: float  # of g, so that k is about 1 whatever the unit of the column
+    shift: float  # g is taken from here where all values have one sign
+    sign: float  # -1 where all values are negative: the column is searched mirrored
+    mixed: bool
+    k: float = 0.0
+    rises: float = -math.inf
+    falls: float = math.inf
+    stride: float = 1.0
+    done: bool = False
+
+    def value(self) -> float:
+        lam = self.k / self.scale
+        return lam if self.sign > 0 else 2.0 - lam
+
+    def move(self, slope: float | None, curve: float | None) -> None:
+        """One safeguarded Newton step from the slope and the curvature at k; None where k is out of range."""
+        before = self.k
+        if slope is None:  # beyond the last k whose powers are numbers
+            if before > 0:
+                self.falls = min(self.falls, before)
+            else:
+                self.rises = max(self.rises, before)
+        elif slope > 0:
+            self.rises = before
+        elif slope < 0:
+            self.falls = before
+        else:
+            self.done = True
+            return
+        step = -slope / curve if slope is not None and curve is not None and curve < 0 else None
+        if step is not None and self.rises < before + step < self.falls and abs(step) <= 4 * self.stride:
+            self.k = before + step
+            self.stride = max(1.0, abs(self.k) / 4, 2 * abs(step))
+        elif math.isinf(self.rises) or math.isinf(self.falls):
+            self.stride *= 2
+            self.k = before + (self.stride if math.isinf(self.falls) else -self.stride)
+        else:
+            self.k = (self.rises + self.falls) / 2
+        self.done = abs(self.k - before) <= CLOSED * max(1.0, abs(self.k)) or not self.rises < self.k < self.falls
+
+
+def _derivatives(e: Column, a: Column) -> tuple[Column, Column, Column]:
+    """expm1(e * a) / e and its first and second derivative by e."""
+    z = e * a
+    near = F.abs(z) < 1e-3
+    full = F.exp(z)
+    f = F.when(near, a * (1 + z / 2 * (1 + z / 3 * (1 + z / 4)))).otherwise(F.try_divide(F.expm1(z), e))
+    f1 = F.when(near, a * a * (0.5 + z / 3 + z * z / 8 + z * z * z / 30)).otherwise(F.try_divide(a * full - f, e))
+    f2 = F.when(near, a * a * a * (1 / 3 + z / 4 + z * z / 10 + z * z * z / 36))
+    return f, f1, f2.otherwise(F.try_divide(a * a * full - 2 * f1, e))
+
+
+def _slopes(logs: DataFrame, open_: dict[int, _Search]) -> dict[int, tuple[float, float]]:
+    """By column, slope and curvature of the log-likelihood a row at its k: one aggregate, one row a column."""
+
+    def of(name: str) -> Column:
+        values = ", ".join(sql_double(float(getattr(open_[c], name))) if c in open_ else "NULL" for c in range(max(open_) + 1))
+        return F.get(F.expr(f"array({values})"), F.col("c"))
+
+    rows = logs.select("c", (F.col("g") * of("sign")).alias("g"), of("scale").alias("s"), of("shift").alias("m"), of("mixed").alias("x"), of("k").alias("k"))
+    rows = rows.where("k IS NOT NULL")
+    u = (F.col("g") - F.col("m")) / F.col("s")
+    below = (F.col("x") > 0) & (F.col("g") < 0)
+    up, down = _derivatives(F.col("k"), u), _derivatives(2 * F.col("s") - F.col("k"), -u)
+    y = [F.when(below, d * w).otherwise(p) for p, d, w in zip(up, down, (-1, 1, -1))]
+    rows = rows.select("c", "x", u.alias("u"), *[v.alias(f"y{i}") for i, v in enumerate(y)])
+    sums = rows.groupBy("c").agg(
+        F.var_pop("y0").alias("v"),
+        (2 * F.covar_pop("y0", "y1")).alias("v1"),
+        (2 * (F.var_pop("y1") + F.covar_pop("y0", "y2"))).alias("v2"),
+        # with a shift the Jacobian's term is part of the variance
+        F.max("x").alias("x"),
+        F.avg("u").alias("u"),
+    )
+    out = {}
+    for r in sums.collect():
+        if all(math.isfinite(r[c]) for c in ("v", "v1", "v2")) and r["v"] > 0:
+            ratio = r["v1"] / r["v"]
+            out[r["c"]] = (r["u"] * r["x"] - ratio / 2, -(r["v2"] / r["v"] - ratio * ratio) / 2)
+    return out
+
+
 def fit_lambdas(df: DataFrame, cols: list[str]) -> dict[str, float]:
-    """Maximum-likelihood lambda per column by grid refinement, all columns in the same pass.
+    """Maximum-likelihood lambda per column, by Newton's method for all columns at once.
 
-    Each pass narrows the interval tenfold around the best point; a best point at an end moves and
-    widens the interval instead, as the search range is not bounded. A column whose interval has not closed
-    after ``MAX_PASSES`` passes is left out.
+    A pass gives each open column the slope and the curvature of its likelihood in one aggregate. The search
+    runs in lambda times the scale of log(1 + |x|), so a column's unit does not matter; it keeps the points
+    between which the slope turns, halves their distance where a Newton step would leave it, and ends where
+    they or the steps meet. A constant column has no lambda.
     """
     if not cols:
         return {}
-    closed: dict[int, float] = {}
-    bounds = {c: GRID_START for c in range(len(cols))}
     # stays in memory or on local disk between the passes; a lost part is recomputed from the mart
     logs = signed_logs(df, cols).persist()
     try:
-        for _ in range(MAX_PASSES):
-            grids = {c: even_grid(*b) for c, b in bounds.items()}
-            top = _best_points(likelihood_grid(logs, grids))
-            following = {}
-            for c in grids:
-                if c not in top:
-                    continue  # constant, or no lambda without overflow
-                lam = top[c]
-                lo, hi = bounds[c]
-                step = (hi - lo) / (GRID_POINTS - 1)
-                if lam in (grids[c][0], grids[c][-1]):
-                    following[c] = (lam - (hi - lo), lam + (hi - lo))
-                elif step > LAST_STEP:
-                    following[c] = (lam - step, lam + step)
-                else:
-                    closed[c] = lam
-            bounds = following
-            if not bounds:
-                break
+        ends = logs.groupBy("c").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.avg("g").alias("m")).collect()
+        found: dict[int, _Search] = {}
+        for r in ends:
+            lo, hi = r["lo"], r["hi"]
+            if not lo < hi or not math.isfinite(hi - lo):
+                continue
+            sign, mixed = (-1.0 if hi <= 0 else 1.0), lo < 0 < hi
+            shift = 0.0 if mixed else sign * r["m"]
+            scale = max(abs(lo), abs(hi)) if mixed else hi - lo
+            # from the untransformed column
+            found[r["c"]] = _Search(scale, shift, sign, mixed, k=scale)
+        while open_ := {c: s for c, s in found.items() if not s.done}:
+            slopes = _slopes(logs, open_)
+            for c, search in open_.items():
+                search.move(*slopes.get(c, (None, None)))
     finally:
         logs.unpersist()
-    return {cols[c]: lam for c, lam in sorted(closed.items())}
-
-
-def _best_points(grid: DataFrame) -> dict[int, float]:
-    """One row per column and grid place comes to the driver; the flatter lambda wins a tie."""
-    rows = sorted(grid.filter("loglik IS NOT NULL").collect(), key=lambda r: (r["loglik"], -abs(r["lambda"])))
-    return {r["c"]: r["lambda"] for r in rows}
+    return {cols[c]: found[c].value() for c in sorted(found)}
 
 
 def fit_power(df: DataFrame, cols: list[str] | None = None, limit: float = SKEW_LIMIT) -> dict[str, float]:

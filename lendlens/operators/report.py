@@ -133,3 +133,12 @@ def impact_summary(gains: DataFrame, model: str = "model", gain: str = "improvem
         top_gain.alias("max_improvement"),
         F.min_by(model, F.struct(-F.col(gain), F.col(model))).alias("best_model"),
     )
+
+
+def thin_gain_summary(gains: DataFrame) -> DataFrame:
+    """Mean and best thin-file gain over the models, per comparison of ``thin_family_gain``."""
+    return gains.groupBy("comparison").agg(
+        F.avg("gain").alias("mean_gain"),
+        F.max("gain").alias("max_gain"),
+        F.min_by("model_name", F.struct(-F.col("gain"), F.col("model_name"))).alias("best_model"),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,9 @@ from lendlens.operators import models, report
 from lendlens.operators.metrics import auc, experiment_metrics
 from lendlens.operators.thinfile import mask_for, mask_spread, profile, slice_metrics
 from lendlens.plans.mart import KEY, TARGET, applicant_mart
-from lendlens.plans.prepare import FeatureSet, Prepared, apply_params, load_or_prepare, load_params
+from lendlens.plans.prepare import FeatureSet, Prepared, apply_params, load_or_prepare, load_params, manifest
 from lendlens.session import materialize
-from lendlens.sources.tables import read_sources, write_csv
+from lendlens.sources.tables import fingerprint, read_sources, write_csv
 
 EXPERIMENT = ["model_name", "feature_set"]
 
@@ -24,6 +25,7 @@ class Results:
     thin_profile: DataFrame
     thin_metrics: DataFrame
     thin_gains: DataFrame
+    thin_gain_summary: DataFrame
     impact: DataFrame
     impact_summary: DataFrame
     family_difference: DataFrame
@@ -73,15 +75,20 @@ def evaluate(prepared: Prepared, swept: models.Sweep, key: str = KEY, target: st
     flagged = scores.join(masks.drop(target), [key, "feature_set"])
     thin = materialize(slice_metrics(flagged, key, "score", target, "is_thin", EXPERIMENT), "thin")
     impact = materialize(impact_on_common_mask(scores, sets, key, target), "impact")
+    gains = report.thin_family_gain(thin)
+    told = report.consolidated(metrics, thin).withColumn("error", F.lit(None).cast("string"))
+    failed = swept.errors.withColumn("category", report.category())
     return Results(
         metrics=metrics,
         thin_profile=profile(masks, "is_thin", target, ["feature_set"]),
         thin_metrics=thin,
-        thin_gains=report.thin_family_gain(thin),
+        thin_gains=gains,
+        thin_gain_summary=report.thin_gain_summary(gains),
         impact=impact,
         impact_summary=report.impact_summary(impact),
         family_difference=report.family_difference(metrics),
-        report=report.consolidated(metrics, thin),
+        # a fit that failed is a row without metrics
+        report=told.unionByName(failed, allowMissingColumns=True).orderBy(F.desc_nulls_last("auc_score"), *EXPERIMENT),
         top10=report.top(metrics, 10),
         best=report.best(metrics),
         best_thin=report.best(thin, "auc_thin_file"),
@@ -97,18 +104,33 @@ def run(
     reprocess: bool = False,
     settings: models.Settings | None = None,
     results_to: str | None = None,
+    schemas: dict | None = None,
+    **options,
 ) -> Results:
-    """Everything from source paths to reports. ``work`` keeps prepared data and models for the next run."""
+    """Everything from source paths to reports. ``work`` keeps prepared data, models and the ledger of finished
+    fits for the next run, which takes up what fits its options and sources. ``options`` go to ``prepare``."""
     prepared = load_or_prepare(
-        spark, f"{work}/prepared", lambda: applicant_mart(read_sources(spark, paths)), reprocess=reprocess
+        spark,
+        f"{work}/prepared",
+        lambda: applicant_mart(read_sources(spark, paths, schemas=schemas)),
+        reprocess=reprocess,
+        sources=fingerprint(spark, paths),
+        **options,
     )
     swept = models.sweep(
-        prepared.sets, models.select_models(selection), KEY, TARGET, settings, save_to=f"{work}/models"
+        prepared.sets,
+        models.select_models(selection),
+        KEY,
+        TARGET,
+        settings,
+        save_to=f"{work}/models",
+        run=json.dumps(manifest(spark, prepared.path), sort_keys=True),
     )
     results = evaluate(prepared, swept)
     if results_to:
         write_csv(results.metrics, f"{results_to}/model_results")
         write_csv(results.thin_metrics, f"{results_to}/thin_file_analysis_by_features")
+        write_csv(results.thin_gain_summary, f"{results_to}/thin_file_gains")
         write_csv(results.impact, f"{results_to}/alternative_impact_thin_file")
         write_csv(results.report, f"{results_to}/report")
     return results

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -19,7 +20,7 @@ from lendlens.operators.parallel import side_by_side
 from lendlens.operators.scale import Scaler, fit_scaler, scale_to_array, scaler_from_table
 from lendlens.plans.mart import KEY, TARGET
 from lendlens.session import materialize, work_dir
-from lendlens.sources.tables import delete, exists
+from lendlens.sources.tables import content_digest, delete, exists
 
 
 @dataclass(frozen=True)
@@ -61,12 +62,15 @@ def prepare(
     seed: int = split.SEED,
     ratio: float = 0.5,
     families: dict | None = None,
+    sources: dict | None = None,
 ) -> Prepared:
     """Clean, transform, encode, split, scale and oversample; the result is written under ``path``.
 
     ``fit_on='all'`` fits transforms and categories on all rows, validation included, as the published
-    numbers did; ``'train'`` leaves the validation rows out. Scaling is always fitted on train rows.
+    numbers did; ``'train'`` leaves the validation rows out. Scaling is always fitted on train rows. The
+    manifest beside the data tells the options, what the sources were, and a digest of every set.
     """
+    asked = _asked(key, target, fit_on, seed, ratio, families, sources)
     if fit_on not in ("all", "train"):
         raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
     spark = mart.sparkSession
@@ -101,10 +105,40 @@ def prepare(
     delete(spark, f"{path}/params")
     side_by_side(spark, write_set, list(sets))
     params = Params(lambdas, encodings, scaler, sets)
+    digests = {f"{name}/{part}": content_digest(df) for name, part, df in _parts(spark, path, list(sets))}
+    told = spark.createDataFrame([(json.dumps(asked, sort_keys=True), json.dumps(digests))], "asked string, digests string")
+    told.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
     save_params(spark, params, f"{path}/params")
     return load_prepared(spark, path)
 
 
+def _asked(key, target, fit_on="all", seed=split.SEED, ratio=0.5, families=None, sources=None) -> dict:
+    plain = {k: list(v) if isinstance(v, (tuple, set, frozenset)) else v for k, v in (families or {}).items()}
+    options = {"key": key, "target": target, "fit_on": fit_on, "seed": seed, "ratio": ratio, "families": plain}
+    return json.loads(json.dumps(options | {"sources": sources}))
+
+
+def _parts(spark: SparkSession, path: str, sets: list[str]) -> list[tuple[str, str, DataFrame]]:
+    return [(name, part, spark.read.parquet(f"{path}/{name}/{part}")) for name in sets for part in ("train", "val")]
+
+
+def manifest(spark: SparkSession, path: str) -> tuple[dict, dict]:
+    """What was asked for, and (rows, digest) by set and part."""
+    row = spark.read.parquet(f"{path}/manifest").first()
+    return json.loads(row["asked"]), json.loads(row["digests"])
+
+
+def verify(prepared: Prepared) -> DataFrame:
+    """(feature_set, part, n, unchanged): the sets as they are on disk against the manifest."""
+    spark = next(iter(prepared.sets.values())).train.sparkSession
+    _, digests = manifest(spark, prepared.path)
+    rows = []
+    for name, part, df in _parts(spark, prepared.path, list(prepared.sets)):
+        n, digest = content_digest(df)
+        rows.append((name, part, n, [n, digest] == digests[f"{name}/{part}"]))
+    return spark.createDataFrame(rows, "feature_set string, part string, n bigint, unchanged boolean")
+
+
 def save_params(spark: SparkSession, params: Params, path: str) -> None:
     """Parameter tables; written last, so their presence says that the preparation is complete."""
     tables = {
@@ -145,9 +179,12 @@ def load_prepared(spark: SparkSession, path: str) -> Prepared:
 def load_or_prepare(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], reprocess: bool = False, **options
 ) -> Prepared:
-    """Reuse what an earlier run prepared under ``path``, or build the mart and prepare it."""
-    if not reprocess and exists(spark, f"{path}/params/sets/_SUCCESS"):
-        return load_prepared(spark, path)
+    """Reuse what an earlier run prepared under ``path`` with the same options and sources, or build the mart
+    and prepare it."""
+    asked = _asked(options.get("key", KEY), options.get("target", TARGET), **{k: v for k, v in options.items() if k not in ("key", "target")})
+    if not reprocess and exists(spark, f"{path}/params/sets/_SUCCESS") and exists(spark, f"{path}/manifest/_SUCCESS"):
+        if manifest(spark, path)[0] == asked:
+            return load_prepared(spark, path)
     return prepare(build(), path, **options)
 
 

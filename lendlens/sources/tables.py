@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendlens.functions.numeric import sql_name
@@ -43,7 +44,7 @@ KNOWN_TYPES = {
 def read_source(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A Parquet or CSV table. Without a schema CSV types are inferred, with the known columns pinned:
     ``STATUS`` mixes digits and letters and must stay text."""
-    if not path.endswith(".csv"):
+    if not path.endswith((".csv", ".csv.gz")):
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.parquet(path)
     reader = spark.read.option("header", True)
@@ -75,6 +76,30 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def fingerprint(spark: SparkSession, paths: dict[str, str]) -> dict[str, list]:
+    """What files each source has now: (path under the source, bytes, time of change), by a listing alone."""
+    found = {}
+    for name, path in sorted(paths.items()):
+        target, files = _hadoop_path(spark, path)
+        if not files.exists(target):
+            continue
+        rows, listing = [], files.listFiles(target, True)
+        root = files.getFileStatus(target).getPath().toString()
+        while listing.hasNext():
+            status = listing.next()
+            own = status.getPath().toString().removeprefix(root)
+            if not status.getPath().getName().startswith(("_", ".")):
+                rows.append([own, status.getLen(), status.getModificationTime()])
+        found[name] = sorted(rows)
+    return found
+
+
+def content_digest(df: DataFrame) -> tuple[int, str]:
+    """Rows, and a sum of row hashes: the same in any order and partitioning."""
+    row = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("h")).first()
+    return row["n"], str(row["h"] or 0)
+
+
 def read_sources(
     spark: SparkSession,
     paths: dict[str, str],

@@ -79,3 +79,25 @@ def test_families():
 def test_catalog(spark):
     rows = families.catalog(spark, ["SK_ID_CURR", "AMT_X", "FLAG_Y"]).orderBy("pos").collect()
     assert [tuple(r) for r in rows] == [("AMT_X", "traditional", 0), ("FLAG_Y", "alternative", 1)]
+
+
+def test_values_that_differ_by_case(spark):
+    from lendlens.operators import encode
+    from lendlens.operators.scale import fit_scaler, scale_to_array
+
+    rows = [("Red", "x"), ("red", "y"), ("RED", "x"), ("blue", "z"), (None, "x")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "id int, c string, `C_rEd` string")
+    fitted = encode.fit_categories(df.drop("id"), ["c"])
+    out = encode.apply_categories(df, fitted)
+    assert len({n.lower() for n in out.columns}) == len(out.columns)
+    made = [n for n in out.columns if n not in ("id", "C_rEd")]
+    assert len(made) == 5
+    assert all(sum(r[n] for n in made) == 1 for r in out.collect())
+    assert scale_to_array(out, fit_scaler(out, made), ["id"]).count() == 5
+
+
+def test_truth_values_and_dates_are_cleaned(spark):
+    from lendlens.operators.clean import clean
+
+    df = spark.sql("SELECT * FROM VALUES (true, DATE'2020-01-02'), (NULL, NULL) AS t(flag, day)")
+    assert [tuple(r) for r in clean(df).collect()] == [(1, "2020-01-02"), (0, "0")]

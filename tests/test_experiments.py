@@ -9,7 +9,7 @@ from lendlens.operators import models
 from lendlens.operators.metrics import auc
 from lendlens.plans import experiments
 from lendlens.plans.mart import KEY, TARGET, applicant_mart
-from lendlens.plans.prepare import apply_params, load_or_prepare, load_params, prepare
+from lendlens.plans.prepare import apply_params, load_or_prepare, load_params, prepare, verify
 
 SMALL = models.Settings(trees=20, rounds=5, max_iter=100)
 
@@ -44,6 +44,26 @@ def test_prepared_is_reused(spark, ready):
     assert again.params == ready.params
 
 
+def test_reused_only_for_equal_options_and_sources(spark, mart, tmp_path):
+    small = mart.select(KEY, TARGET, "AMT_CREDIT", "EXT_SOURCE_1", "NAME_SEGMENT")
+    built = []
+
+    def build():
+        built.append(1)
+        return small
+
+    path = str(tmp_path / "sets")
+    for options in ({}, {}, {"seed": 7}, {"seed": 7}, {"seed": 7, "sources": {"application": [["/a", 1, 2]]}}):
+        load_or_prepare(spark, path, build, **options)
+    assert len(built) == 3
+    ready = load_or_prepare(spark, path, build, seed=7, sources={"application": [["/a", 1, 2]]})
+    assert len(built) == 3 and verify(ready).where("NOT unchanged").count() == 0
+    # a set that was written again is told
+    ready.sets["all"].val.limit(5).coalesce(1).write.mode("append").parquet(f"{path}/all/val")
+    changed = verify(ready).where("NOT unchanged").collect()
+    assert [(r["feature_set"], r["part"]) for r in changed] == [("all", "val")]
+
+
 def test_fit_on_train_differs(mart, ready, tmp_path):
     other = prepare(mart, str(tmp_path / "train"), fit_on="train")
     assert other.params.lambdas != ready.params.lambdas
@@ -121,7 +141,36 @@ def test_sweep_goes_on_after_a_failure(spark, ready, monkeypatch):
     assert {tuple(r)[:2] for r in swept.errors.collect()} == {("SVM", s) for s in ready.sets}
     results = experiments.evaluate(ready, swept)
     assert results.metrics.count() == 3 and results.impact.count() == 1
-    assert results.thin_profile.count() == 3 and results.report.count() == 3
+    assert results.thin_profile.count() == 3 and results.report.count() == 6
+    lost = results.report.where("error IS NOT NULL").collect()
+    assert {(r["model_name"], r["category"], r["auc_score"]) for r in lost} == {("SVM", "Others", None)}
+    assert all("no luck" in r["error"] for r in lost)
+
+
+def test_sweep_goes_on_from_its_ledger(spark, ready, monkeypatch, tmp_path):
+    """Three fits end, the others are stopped; the next sweep fits those only."""
+    plain, fitted = models.fit_prepared, []
+
+    def stopping(name, *rest):
+        if len(fitted) == 3:
+            raise KeyboardInterrupt("stopped")
+        fitted.append(name)
+        return plain(name, *rest)
+
+    names = ["Logistic_Regression", "Linear_Regression"]
+    sweep = lambda run="a": models.sweep(ready.sets, names, KEY, TARGET, SMALL, str(tmp_path), parallelism=1, run=run)
+    monkeypatch.setattr(models, "fit_prepared", stopping)
+    with pytest.raises(KeyboardInterrupt):
+        sweep()
+    monkeypatch.setattr(models, "fit_prepared", lambda name, *rest: fitted.append(name) or plain(name, *rest))
+    again = sweep()
+    assert len(fitted) == 6 and len(again.fitted) == 6 and again.scores.count() == 6 * 300
+    assert sweep().scores.count() == 6 * 300 and len(fitted) == 6
+    whole = models.sweep(ready.sets, names, KEY, TARGET, SMALL)
+    columns = [KEY, "model_name", "feature_set", "prediction"]
+    assert whole.scores.select(columns).exceptAll(again.scores.select(columns)).count() == 0
+    sweep("other data")
+    assert len(fitted) == 18
 
 
 def test_run_from_paths(spark, tmp_path):

@@ -122,3 +122,14 @@ def test_no_window_over_all_raw_rows(spark):
     for part in plan.split("Exchange SinglePartition")[1:]:
         # only the per-range sums may meet in one partition
         assert "HashAggregate" in part.split("FileScan")[0]
+
+
+def test_null_group_is_a_group(spark):
+    from lendlens.operators.metrics import acceptance, auc
+    from lendlens.operators.ordered import percentile
+
+    rows = [(g, i, float(i % 5), int(i % 3 == 0)) for g in ("a", None) for i in range(30)]
+    df = spark.createDataFrame(rows, "g string, id bigint, score double, bad int")
+    for made in (auc(df, "score", "bad", ["g"]), acceptance(df, "id", "score", "bad", 0.4, ["g"]), percentile(df, "score", 0.3, ["g"])):
+        found = {r["g"]: tuple(r)[1:] for r in made.collect()}
+        assert set(found) == {"a", None} and found["a"] == found[None]

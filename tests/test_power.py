@@ -1,3 +1,5 @@
+from decimal import Decimal, localcontext
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -56,7 +58,43 @@ def test_apply_keeps_other_columns(spark):
     assert out.agg(F.max("AMT_A")).first()[0] == pytest.approx(np.log1p(21))
 
 
-def test_lambda_whose_interval_stays_open_is_left_out(spark, monkeypatch):
-    assert set(power.fit_lambdas(frame(spark), ["AMT_A"])) == {"AMT_A"}
-    monkeypatch.setattr(power, "MAX_PASSES", 2)
-    assert power.fit_lambdas(frame(spark), ["AMT_A"]) == {}
+def likelihood(values, lam):
+    """The log-likelihood in 60 digits, by the definition."""
+    with localcontext() as c:
+        c.prec = 60
+        lam, two = Decimal(lam), Decimal(2)
+        y = []
+        for v in map(Decimal, values):
+            if v >= 0:
+                y.append((((v + 1) ** lam) - 1) / lam)
+            else:
+                y.append(-(((1 - v) ** (two - lam)) - 1) / (two - lam))
+        mean = sum(y) / len(y)
+        var = sum((v - mean) ** 2 for v in y) / len(y)
+        jacobian = sum((1 + abs(v)).ln() * (1 if v > 0 else -1) for v in map(Decimal, values))
+        return -Decimal(len(y)) / 2 * var.ln() + (lam - 1) * jacobian
+
+
+@pytest.mark.parametrize("shape", ["positive", "mixed", "negative"])
+def test_any_unit_has_a_lambda(spark, shape):
+    draw = np.random.default_rng(6)
+    x = np.exp(draw.normal(size=80)) - (1.5 if shape == "mixed" else 0.0)
+    x = -x if shape == "negative" else x
+    units = [1e-12, 1e-9, 1e-3, 1.0, 1e3, 1e6, 1e12]
+    cols = [f"AMT_{i}" for i in range(len(units))]
+    df = spark.createDataFrame([tuple(float(v * u) for u in units) for v in x], ", ".join(f"{c} double" for c in cols))
+    got = power.fit_lambdas(df, cols)
+    assert list(got) == cols
+    for c, u in zip(cols, units):
+        values = [float(v * u) for v in x]
+        near = 1e-3 / float(np.log1p(np.abs(values)).max())
+        here, less, more = (likelihood(values, float(got[c] + d)) for d in (0.0, -near, near))
+        assert here > less and here > more
+
+
+def test_odd_columns(spark):
+    rows = [(0.0, 1.0, None, -3.0, 1e300), (1.0, 1.0, None, -1.0, 0.0), (0.0, 1.0, 2.0, -2.0, 5.0)]
+    df = spark.createDataFrame(rows, "two double, same double, one double, low double, wide double")
+    got = power.fit_lambdas(df, df.columns)
+    assert set(got) == {"two", "low", "wide"} and all(np.isfinite(v) for v in got.values())
+    assert power.fit_lambdas(df.limit(0), df.columns) == {}

@@ -68,3 +68,28 @@ def test_a_cluster_needs_a_shared_folder(spark):
 
     with pytest.raises(RuntimeError):
         work_dir(Session())
+
+
+def test_fingerprint_and_digest(spark, tmp_path):
+    from lendlens.sources.tables import content_digest, fingerprint
+
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(50)], "a int, b string")
+    df.write.parquet(str(tmp_path / "one"))
+    before = fingerprint(spark, {"one": str(tmp_path / "one"), "none": str(tmp_path / "none")})
+    assert list(before) == ["one"] and before == fingerprint(spark, {"one": str(tmp_path / "one")})
+    df.limit(3).write.mode("append").parquet(str(tmp_path / "one"))
+    assert fingerprint(spark, {"one": str(tmp_path / "one")}) != before
+    assert content_digest(df) == content_digest(df.repartition(7)) != content_digest(df.limit(49))
+    assert content_digest(df.limit(0)) == (0, "0")
+
+
+def test_zipped_csv_and_folders(spark, tmp_path):
+    from lendlens.sources.tables import read_source
+
+    df = spark.createDataFrame([(i, f"v{i}", i / 4) for i in range(20)], "SK_ID_CURR bigint, STATUS string, AMT_CREDIT double")
+    df.write.option("header", True).option("compression", "gzip").csv(str(tmp_path / "many.csv"))
+    one = next((tmp_path / "many.csv").glob("*.csv.gz"))
+    for path in (tmp_path / "many.csv", one):
+        again = read_source(spark, str(path))
+        assert again.dtypes == df.dtypes
+    assert read_source(spark, str(tmp_path / "many.csv")).exceptAll(df).count() == 0
