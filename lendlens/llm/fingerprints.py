@@ -14,6 +14,7 @@ without an id come first; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,6 +27,8 @@ from lendlens.llm.common import sha256
 
 KEEP = 32
 FROM_LEVEL = 2
+#: Bytes of text in a range, about, and most ranges.
+RANGE_BYTES, MAX_RANGES = 16_000_000, 20_000
 NO_ID = -(1 << 63)  # rows without an id come first
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -106,20 +109,30 @@ def likeness(a: str, b: str) -> float:
 
 
 def _followed(documents: DataFrame, key: str) -> DataFrame:
-    """Rows dealt into ranges of ``key``; the first row of a range stands also at the end of the one before.
+    """Rows dealt into ranges of ``key``, one to a task; the first row of a range stands also at the end of
+    the one before.
 
-    Columns (range, key, text, ghost), sorted. Range ends are quantiles, so they are few and small; a first
-    row is found by its key.
+    Columns (range, key, text, ghost), sorted. Range ends are quantiles, about ``RANGE_BYTES`` of text apart, so
+    they are few and small; a first row is found by its key.
     """
-    parts = max(2, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spark = documents.sparkSession
+    total = documents.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), min(MAX_RANGES, math.ceil(total / RANGE_BYTES)))
     id_ = F.coalesce(F.col(key).cast("long"), F.lit(NO_ID))
     own = documents.select(id_.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     cuts = own.approxQuantile("key", [i / parts for i in range(1, parts)], 0.25 / parts)
     cuts = sorted({int(c) for c in cuts})
     place = F.lit(0)
-    if cuts:
-        bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-        place = F.size(F.filter(bounds, lambda c: c <= F.col("key")))
+    if cuts:  # first the chunk of cuts, then the place in it
+        size = math.isqrt(len(cuts)) + 1
+        chunks = [cuts[k : k + size] for k in range(0, len(cuts), size)]
+        literal = lambda values: F.array(*[F.lit(c).cast("long") for c in values])
+        before = lambda values: F.size(F.filter(values, lambda c: c <= F.col("key")))
+        chunk = before(literal([c[-1] for c in chunks]))
+        inside = F.get(F.array(*map(literal, chunks)), chunk)
+        place = chunk * size + F.when(inside.isNull(), F.lit(0)).otherwise(before(inside))
+        # after the last cut there is no chunk
+        place = F.least(place, F.lit(len(cuts)))
     dealt = own.withColumn("range", place)
     firsts = dealt.groupBy("range").agg(F.min("key").alias("key")).collect()  # at most one row per range
     firsts = sorted((r["range"], r["key"]) for r in firsts)
@@ -134,7 +147,12 @@ def _followed(documents: DataFrame, key: str) -> DataFrame:
         chosen = own.where(F.col("key").isin([k for _, k in goes]))
         least = chosen.groupBy("key").agg(F.min("text").alias("text"))
         dealt = dealt.unionByName(least.select("key", "text", copies.alias("range"), F.lit(True).alias("ghost")))
-    return dealt.repartition(parts, "range").sortWithinPartitions("range", "ghost", "key", "text")
+    # a number for each range whose hash is the range's own partition
+    own_number = spark.range(64 * parts).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("to"))
+    numbers = {r["to"]: r["id"] for r in own_number.groupBy("to").agg(F.min("id").alias("id")).collect()}
+    slots = F.array(*[F.lit(numbers.get(k, k)).cast("long") for k in range(len(cuts) + 1)])
+    dealt = dealt.withColumn("slot", F.get(slots, F.col("range"))).repartition(parts, "slot").drop("slot")
+    return dealt.sortWithinPartitions("range", "ghost", "key", "text")
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:

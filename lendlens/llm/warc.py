@@ -71,30 +71,37 @@ def record(page: int | None, url: str, payload: bytes, digest: str, length: int,
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def planned(pages: DataFrame) -> DataFrame:
-    """Pages with size, digest and, for a revisit, the page it refers to."""
+def _own(pages: DataFrame) -> DataFrame:
     html = F.coalesce("html", F.lit("")).cast("binary")
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), html.alias("payload"))
-    own = own.withColumns({"length": F.octet_length("payload").cast("long"), "digest": F.sha2("payload", 256)})
-    first = own.where(F.col("length") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    first = first.where("n > 1 AND first IS NOT NULL").select("digest", "first")
-    refers = F.when((F.col("length") >= MIN_REVISIT) & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return own.join(first, "digest", "left").select("page_id", "url", "payload", "digest", "length", refers.alias("refers"))
+    return own.withColumns({"length": F.octet_length("payload").cast("long"), "digest": F.sha2("payload", 256)})
+
+
+def revisits(own: DataFrame) -> DataFrame:
+    """(page_id, digest, refers): the pages that revisit another, decided on rows without payloads."""
+    large = own.where(F.col("length") >= MIN_REVISIT).select("page_id", "digest")
+    first = large.groupBy("digest").agg(F.min("page_id").alias("refers"), F.count("*").alias("n"))
+    first = first.where("n > 1 AND refers IS NOT NULL").select("digest", "refers")
+    return large.distinct().join(first, "digest").where("NOT page_id <=> refers").select("page_id", "digest", "refers")
 
 
 def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFrame:
-    """Writes the archives into ``folder`` and returns the manifest."""
-    rows = planned(pages)
-    rows = rows.withColumn("payload", F.when(F.col("refers").isNull(), F.col("payload")))
+    """Writes the archives into ``folder``, which must not hold any, and returns the manifest."""
+    if _archives(folder):
+        raise ValueError(f"{folder} holds archives already")
+    own = _own(pages)
+    # what a page revisits goes with the payloads to the page's range and stands before it: payloads move once
+    told = revisits(own).select("page_id", F.lit("").alias("url"), F.lit(None).cast("binary").alias("payload"), F.lit(0).cast("long").alias("length"), "digest", "refers")
+    rows = own.withColumn("refers", F.lit(None).cast("long")).unionByName(told)
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, F.col("page_id").asc_nulls_last()).sortWithinPartitions(
-        F.col("page_id").asc_nulls_last(), "digest", "url"
-    )
+    page = F.col("page_id").asc_nulls_last()
+    rows = rows.repartitionByRange(parts, page).sortWithinPartitions(page, "digest", F.col("refers").asc_nulls_last(), "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = _place(folder)
         files.create_dir(f"{base}/tmp", recursive=True)
         part, out, done, number = TaskContext.get().partitionId(), None, [], 0
+        told = None
 
         def close() -> None:
             out.close()
@@ -103,6 +110,11 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFr
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "length", "refers"))
             for page, url, payload, digest, length, refers in zip(*columns):
+                if refers is not None:
+                    told = (page, digest, refers)
+                    continue
+                if told is not None and told[:2] == (page, digest):
+                    refers = told[2]
                 if out is None:
                     attempt, records, size, sha = f"{uuid.uuid4().hex}.tmp", 0, 0, hashlib.sha256()
                     out = files.open_output_stream(f"{base}/tmp/{attempt}", compression=None)
@@ -136,6 +148,27 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFr
     return materialize(manifest.mapInArrow(commit, MANIFEST), "committed")
 
 
+def _archives(folder: str) -> bool:
+    from pyarrow import fs
+
+    files, base = _place(folder)
+    found = files.get_file_info(fs.FileSelector(base, allow_not_found=True))
+    return any(f.base_name.endswith(".warc.gz") for f in found)
+
+
+class _Measured:
+    """A stream whose bytes are counted and hashed as they are read."""
+
+    def __init__(self, stream):
+        self.stream, self.size, self.sha = stream, 0, hashlib.sha256()
+
+    def read(self, size: int) -> bytes:
+        data = self.stream.read(size)
+        self.size += len(data)
+        self.sha.update(data)
+        return data
+
+
 def parse(data, size: int = 1 << 20) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of each record of a stream of gzip members, read piece by piece."""
     inflate, held, plain, more = zlib.decompressobj(31), b"", b"", True
@@ -176,10 +209,11 @@ def read_back(manifest: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = _place(folder)
         for batch in batches:
-            for name, records in zip(batch.column("name").to_pylist(), batch.column("records").to_pylist()):
+            for name, records, size, sha in zip(*(batch.column(c).to_pylist() for c in ("name", "records", "bytes", "sha256"))):
                 rows, seen = [], 0
                 with files.open_input_stream(f"{base}/{name}", compression=None) as stream:
-                    for headers, block in parse(stream):
+                    data = _Measured(stream)
+                    for headers, block in parse(data):
                         http, _, payload = block.partition(b"\r\n\r\n")
                         length = int(http.decode().rsplit("Content-Length: ", 1)[1])
                         digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
@@ -195,8 +229,8 @@ def read_back(manifest: DataFrame, folder: str) -> DataFrame:
                         if len(rows) == 500:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
                             rows = []
-                if seen != records:
-                    raise ValueError(f"{name} has {seen} records, the manifest {records}")
+                if (seen, data.size, data.sha.hexdigest()) != (records, size, sha):
+                    raise ValueError(f"{name} is not the file of the manifest: {seen} records, {data.size} bytes")
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 

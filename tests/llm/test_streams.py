@@ -313,3 +313,35 @@ def test_unknown_lines_are_whole(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "one two three four " * 300) for i in range(40)], "doc_id bigint, text string")
     licences.Classifier(docs)
     assert longest[0] == 1_200
+
+
+def test_one_range_to_a_task(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 2_000)
+    rows = [(i * 3, f"text of {i} " * 12) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    dealt = fingerprints._followed(docs, "doc_id")
+    found = dealt.select("range", "ghost", "key", F.spark_partition_id().alias("part")).collect()
+    parts = {}
+    for r in found:
+        parts.setdefault(r["part"], set()).add(r["range"])
+    assert len(parts) > 15 and all(len(ranges) == 1 for ranges in parts.values())
+    spans = {}
+    for r in found:
+        if not r["ghost"]:
+            spans.setdefault(r["range"], []).append(r["key"])
+    ends = [(min(v), max(v)) for _, v in sorted(spans.items())]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:])) and sum(map(len, spans.values())) == 400
+    assert sum(r["ghost"] for r in found) == len(spans)
+
+
+def test_a_used_folder_and_a_changed_archive(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"page {i} " * 30) for i in range(40)], "page_id bigint, url string, html string")
+    folder = str(tmp_path / "a")
+    manifest = warc.write(pages, folder)
+    assert warc.read_back(manifest, folder).count() == 40
+    with pytest.raises(ValueError, match="holds archives"):
+        warc.write(pages, folder)
+    one = next((tmp_path / "a").glob("*.warc.gz"))
+    one.write_bytes(one.read_bytes() * 2)
+    with pytest.raises(Exception, match="not the file of the manifest"):
+        warc.read_back(manifest, folder).collect()
