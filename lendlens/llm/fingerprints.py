@@ -29,6 +29,8 @@ KEEP = 32
 FROM_LEVEL = 2
 #: Bytes of text in a range, about, and most ranges.
 RANGE_BYTES, MAX_RANGES = 16_000_000, 20_000
+#: Bytes parsed side by side, and rows looked at together.
+TOGETHER, ROWS = 65_536, 256
 NO_ID = -(1 << 63)  # rows without an id come first
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -41,61 +43,132 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(1)
 def _toss() -> np.ndarray:
-    """Label of a name below 128 beside its left neighbour: lowest differing bit, and its value."""
+    """Label of a name below 128 beside its left neighbour: lowest differing bit, and its value; at 128 * name + left."""
     a, b = np.meshgrid(np.arange(128), np.arange(128), indexing="ij")
     low = (a ^ b) & -(a ^ b)
     bit = np.log2(np.maximum(low, 1)).astype(int)
-    return (2 * bit + ((a >> bit) & 1)).astype(np.uint8)
+    return (2 * bit + ((a >> bit) & 1)).astype(np.uint8).ravel()
 
 
-def _labels(names: np.ndarray) -> np.ndarray:
-    """Labels below 6 for names of which no neighbours are equal."""
-    left = np.empty_like(names)
-    left[1:] = names[:-1]
-    left[0] = ~names[0]
-    differ = names ^ left
+@lru_cache(1)
+def _byte_names() -> np.ndarray:
+    return _mix(np.arange(256, dtype=np.uint64) + np.uint64(1))
+
+
+def _labels(names: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Labels below 6 for names of which no neighbours of one text are equal; ``first`` are the texts' first places."""
+    differ = np.empty_like(names)
+    np.bitwise_xor(names[1:], names[:-1], out=differ[1:])
+    differ[first] = ~np.uint64(0)
     low = differ & (~differ + np.uint64(1))
-    bit = np.log2(low.astype(np.float64)).astype(np.uint64)
-    label = (2 * bit + ((names >> bit) & np.uint64(1))).astype(np.uint8)
+    # the place of the one bit is the number of bits below it
+    label = 2 * np.bitwise_count(low - np.uint64(1)) + ((names & low) != 0)
     table = _toss()
     for _ in range(3):
-        label = np.concatenate([table[label[:1], label[:1] ^ 1], table[label[1:], label[:-1]]])
+        place = label.astype(np.intp) << 7
+        place[1:] |= label[:-1]
+        place[first] = (label[first].astype(np.intp) << 7) | (label[first] ^ 1)
+        label = table.take(place)
     return label
 
 
+def _sizes(starts: np.ndarray, n: int) -> np.ndarray:
+    out = np.empty_like(starts)
+    np.subtract(starts[1:], starts[:-1], out=out[:-1])
+    out[-1] = n - starts[-1]
+    return out
+
+
 def _hash_blocks(names: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """One name per block: a hash of the names in it, in order."""
-    size = np.diff(starts, append=len(names))
-    place = np.arange(len(names)) - np.repeat(starts, size)
-    terms = _mix(names + _ODD * (place.astype(np.uint64) + np.uint64(1)))
-    return _mix(np.add.reduceat(terms, starts) + size.astype(np.uint64))
+    size = _sizes(starts, len(names))
+    place = np.arange(1, len(names) + 1) - np.repeat(starts, size)
+    terms = _mix(names + _ODD * place.view(np.uint64))
+    return _mix(np.add.reduceat(terms, starts) + size.view(np.uint64))
+
+
+def levels(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text numbers, names) of each level of several texts parsed side by side, the bytes' own names first.
+
+    A text goes down to a single phrase and is not in the levels after it; no phrase reaches over a text's end.
+    """
+    sizes = np.array([len(t) for t in texts], np.int64)
+    text = np.repeat(np.arange(len(texts)), sizes)
+    names = _byte_names().take(np.frombuffer(b"".join(texts), np.uint8))
+    yield text, names
+    while True:
+        more = (np.bincount(text, minlength=len(texts)) > 1)[text]
+        text, names = text[more], names[more]
+        if not len(names):
+            return
+        new = np.ones(len(names), bool)
+        new[1:] = (names[1:] != names[:-1]) | (text[1:] != text[:-1])
+        if not new.all():  # runs
+            starts = np.flatnonzero(new)
+            runs, names, text = _sizes(starts, len(names)), names[starts], text[starts]
+            many = np.flatnonzero(runs > 1)
+            names[many] = _mix(names[many] + runs[many].view(np.uint64) * _ODD)
+        head = np.ones(len(names), bool)
+        head[1:] = text[1:] != text[:-1]
+        last = np.append(head[1:], True)
+        # a run's name may meet its neighbour's only by a collision of 64-bit hashes
+        label = _labels(names, np.flatnonzero(head))
+        rise = label[1:] > label[:-1]
+        begin = head.copy()
+        begin[1:-1] |= rise[:-1] & (label[1:-1] > label[2:]) & ~last[1:-1]
+        starts = np.flatnonzero(begin)
+        alone = (head & last)[starts]  # a text of one run is its name
+        names, text = np.where(alone, names[starts], _hash_blocks(names, starts)), text[starts]
+        yield text, names
 
 
 def parse(data: bytes) -> list[np.ndarray]:
-    """Names of each level, the bytes' own names first, down to a single phrase."""
-    if not data:
-        return []
-    names = _mix(np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1))
-    levels = [names]
-    while len(names) > 1:
-        starts = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
-        runs = np.diff(starts, append=len(names)).astype(np.uint64)
-        names = np.where(runs > 1, _mix(names[starts] + runs * _ODD), names[starts])
-        if len(names) > 1:
-            # a run's name may meet its neighbour's only by a collision of 64-bit hashes
-            label = _labels(names).astype(np.int8)
-            top = (label[1:-1] > label[:-2]) & (label[1:-1] > label[2:])
-            names = _hash_blocks(names, np.concatenate([[0], np.flatnonzero(top) + 1]))
-        levels.append(names)
-    return levels
+    """Names of each level of one text."""
+    return [names for _, names in levels([data])] if data else []
+
+
+def fingerprints_of(texts: list[bytes]) -> list[str]:
+    """The fingerprint of each text; parsed together in groups of about ``TOGETHER`` bytes."""
+    out: list[str] = []
+    start = 0
+    while start < len(texts):
+        end, size = start + 1, len(texts[start])
+        while end < len(texts) and size + len(texts[end]) <= TOGETHER:
+            size += len(texts[end])
+            end += 1
+        out += _fingerprints(texts[start:end])
+        start = end
+    return out
+
+
+def _fingerprints(texts: list[bytes]) -> list[str]:
+    owners, found = [], []
+    deep = np.zeros(len(texts), bool)
+    shallow: dict[int, int] = {}
+    for k, (text, names) in enumerate(levels(texts)):
+        if k >= FROM_LEVEL:
+            owners.append(text)
+            found.append(names)
+            deep[text] = True
+        else:  # texts that end before that level have one name there
+            single = (np.bincount(text, minlength=len(texts)) == 1)[text]
+            shallow |= zip(text[single].tolist(), names[single].tolist())
+    out = ["" if not t else f"{shallow.get(i, 0):016x}" for i, t in enumerate(texts)]
+    if owners:
+        owner, names = np.concatenate(owners), np.concatenate(found)
+        order = np.lexsort((names, owner))
+        owner, names = owner[order], names[order]
+        fresh = np.ones(len(names), bool)
+        fresh[1:] = (owner[1:] != owner[:-1]) | (names[1:] != names[:-1])
+        owner, names = owner[fresh], names[fresh]
+        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        for i, a, n in zip(owner[starts].tolist(), starts.tolist(), _sizes(starts, len(owner)).tolist()):
+            out[i] = "".join(f"{x:016x}" for x in names[a : a + min(n, KEEP)].tolist())
+    return out
 
 
 def fingerprint(data: bytes) -> str:
-    levels = parse(data)
-    if not levels:
-        return ""
-    names = np.unique(np.concatenate(levels[FROM_LEVEL:] or levels[-1:]))[:KEEP]
-    return "".join(f"{x:016x}" for x in names.tolist())
+    return fingerprints_of([data])[0]
 
 
 def likeness(a: str, b: str) -> float:
@@ -165,23 +238,26 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # (range, key, text, fingerprint, is it the first one's stand-in)
+        held: list[tuple] = []  # the last row: (range, key, text, fingerprint, is it a first row's stand-in)
         for batch in batches:
-            rows = []
-            for place, key, text, ghost in zip(*(batch.column(c).to_pylist() for c in ("range", "key", "text", "ghost"))):
-                own = fingerprint(text.encode())
-                if held is not None and held[0] == place and not held[4]:
-                    rows.append(_compared(held[1], held[2], held[3], text, own))
-                held = (place, key, text, own, ghost)
-            columns = list(zip(*rows)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            for start in range(0, batch.num_rows, ROWS):
+                some = batch.slice(start, ROWS)
+                places, keys, texts, ghosts = (some.column(c).to_pylist() for c in ("range", "key", "text", "ghost"))
+                rows = held + list(zip(places, keys, texts, fingerprints_of([t.encode() for t in texts]), ghosts))
+                pairs = [(a, b) for a, b in zip(rows, rows[1:]) if a[0] == b[0] and not a[4]]
+                held = rows[-1:]
+                edited = [_edited(a[2], b[2]) for a, b in pairs]
+                prints = fingerprints_of([e.encode() for e in edited])
+                out = [
+                    (None if a[1] == NO_ID else a[1], len(a[2]), sha256(e), a[3], p, likeness(a[3], p), likeness(a[3], b[3]))
+                    for (a, b), e, p in zip(pairs, edited, prints)
+                ]
+                columns = list(zip(*out)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     return _followed(documents, "doc_id").mapInArrow(run, kind)
 
 
-def _compared(key, text: str, own: str, after: str, other: str) -> tuple:
+def _edited(text: str, after: str) -> str:
     half = len(text) // 2
-    edited = text[: len(text) - half] + after[:half]
-    print_ = fingerprint(edited.encode()) if edited != text else own
-    shown = None if key == NO_ID else key
-    return shown, len(text), sha256(edited), own, print_, likeness(own, print_), likeness(own, other)
+    return text[: len(text) - half] + after[:half]
