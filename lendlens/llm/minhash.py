@@ -121,14 +121,12 @@ def _values(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def _keys(values: np.ndarray) -> np.ndarray:
     """A key for each signature and band, a hash of the band's number and values."""
-    keys = np.empty((len(values), BANDS), np.int64)
-    for k in range(BANDS):
-        mixed = np.full(len(values), np.uint64(k + 1))
-        for r in range(ROWS):
-            mixed = (mixed ^ values[:, k * ROWS + r].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(31)
-        keys[:, k] = mixed.view(np.int64)
-    return keys
+    parts = values.reshape(-1, BANDS, ROWS)
+    mixed = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(values), 1))
+    for r in range(ROWS):
+        mixed = (mixed ^ parts[:, :, r].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(31)
+    return mixed.view(np.int64)
 
 
 def _bands(reps: DataFrame) -> DataFrame:
@@ -161,7 +159,8 @@ def verified(cells: DataFrame, sig: DataFrame, texts: DataFrame, banded: bool) -
         keys = _keys(values) if banded else None
         n, band = n.astype(np.int64), cell.column("band")[0].as_py()
         right = np.flatnonzero(side & 2)
-        out: dict[str, list] = {"a": [], "ca": [], "b": [], "cb": []}
+        out: dict[str, list] = {"a": [], "ca": [], "b": [], "cb": [], "fresh": []}
+        seen = np.zeros(len(ids), bool)
         for x in np.flatnonzero(side & 1):
             alive = right[comp[right] != comp[x]]
             if side[x] == 3:
@@ -182,8 +181,13 @@ def verified(cells: DataFrame, sig: DataFrame, texts: DataFrame, banded: bool) -
                 out["ca"].append(comp[x])
                 out["b"].append(ids[alive])
                 out["cb"].append(comp[alive])
+                # a document is asked for once a cell
+                met = np.append(alive, x)
+                out["fresh"].append(ids[met[~seen[met]]])
+                seen[met] = True
         own = {c: pa.array(np.repeat(cell.column(c)[0].as_py(), len(out["a"])), cell.schema.field(c).type) for c in CELL}
-        kinds = {"a": pa.int64(), "ca": pa.int64(), "b": pa.list_(pa.int64()), "cb": pa.list_(pa.int64())}
+        many = pa.list_(pa.int64())
+        kinds = {"a": pa.int64(), "ca": pa.int64(), "b": many, "cb": many, "fresh": many}
         return pa.table({**own, **{c: pa.array(out[c], kinds[c]) for c in kinds}})
 
     def confirm(hits: pa.Table, full: pa.Table) -> pa.Table:
@@ -214,11 +218,11 @@ def verified(cells: DataFrame, sig: DataFrame, texts: DataFrame, banded: bool) -
                     out["b"].append(b)
         return pa.table({c: pa.array(out[c], pa.int64()) for c in out})
 
-    kind = "band bigint, i int, j int, a bigint, ca bigint, b array<bigint>, cb array<bigint>"
+    kind = "band bigint, i int, j int, a bigint, ca bigint, b array<bigint>, cb array<bigint>, fresh array<bigint>"
     hits = materialize(cells.join(sig, "id").groupBy(*CELL).applyInArrow(screen, kind), "hits")
-    each = hits.select(*CELL, F.explode(F.array_append("b", F.col("a"))).alias("id")).distinct()
+    each = hits.select(*CELL, F.explode("fresh").alias("id"))
     full = each.join(texts, "id").toDF("id", *(f"of_{c}" for c in CELL), "text")
-    return hits.groupBy(*CELL).cogroup(full.groupBy(*full.columns[1:4])).applyInArrow(confirm, "a bigint, b bigint")
+    return hits.drop("fresh").groupBy(*CELL).cogroup(full.groupBy(*full.columns[1:4])).applyInArrow(confirm, "a bigint, b bigint")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:

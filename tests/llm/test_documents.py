@@ -212,6 +212,56 @@ def test_near_duplicates_odd(spark):
     assert minhash.groups(table(spark, [])).count() == 0
 
 
+def similar(n, start=0):
+    """Documents of 400 words that differ in 40 of them, each in its own: alike, but none near another."""
+    draw = random.Random(9)
+    base, out = [f"w{k}" for k in range(400)], []
+    for d in range(start, start + n):
+        own = list(base)
+        for k in draw.sample(range(400), 20):
+            own[k] = f"d{d}x{k}"
+        out.append((d, " ".join(own)))
+    return out
+
+
+def test_near_duplicates_without_ids(spark):
+    words = " ".join(f"w{k}" for k in range(60))
+    near = words + " end"
+    texts = [(7, words), (None, near), (3, near), (None, "lone words"), (None, None), (None, "lone  WORDS"), (5, near), (5, "other")]
+    df = table(spark, texts)
+    got = Counter(map(tuple, minhash.groups(df).select("doc_id", "component_id", "kept").collect()))
+    want = [(7, 3, False), (None, 3, False), (3, 3, True), (5, 3, False), (5, 5, True), *[(None, None, True)] * 3]
+    assert got == Counter(want)
+    kept = sorted(((r["doc_id"] or 0, r["text"] or "") for r in minhash.keep_one(df).collect()))
+    assert kept == [(0, ""), (0, "lone  WORDS"), (0, "lone words"), (3, near), (5, "other")]
+
+
+def test_near_duplicates_in_split_cells(spark, monkeypatch):
+    """Small cells: centres and both sides of a group are split, and links across parts are found."""
+    monkeypatch.setattr(minhash, "MEMBERS", 4)
+    monkeypatch.setattr(minhash, "TURNS", 1)
+    draw = random.Random(4)
+    texts = similar(60)
+    for d, t in similar(60)[::3]:
+        own = t.split()
+        own[draw.randrange(400)] = "changed"
+        texts.append((1_000 + d, " ".join(own)))
+    got = sorted(map(tuple, minhash.groups(table(spark, texts)).collect()))
+    assert got == plain_groups(texts)
+
+
+def test_cells_grow_with_members(spark):
+    """Four times the members of a group that hangs together but for a few make four times the rows of cells."""
+    made = []
+    for n in (2_000, 8_000):
+        members = spark.range(n).selectExpr("7L as band", "id", "300 as n", "if(id < 5, id, 5L) as comp")
+        made.append(minhash._across(members).count())
+        assert minhash._across(members).groupBy("band", "i", "j").count().agg(F.max("count")).first()[0] < 1.2 * minhash.MEMBERS
+        centres = members.withColumn("comp", F.col("id"))
+        assert minhash._stars(centres, 0).count() <= n + n / minhash.MEMBERS + 1
+    assert made[1] < 4.1 * made[0]
+
+
 def test_posterior_bound():
     assert [minhash.needed(n) for n in (32, 64)] == sorted(minhash.needed(n) for n in (32, 64))
     assert minhash.needed(32) < 24 and minhash.needed(168) < 0.75 * 168
