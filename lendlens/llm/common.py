@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
@@ -39,6 +40,14 @@ def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(run, kinds)
 
 
+def without(documents: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose id and text are not in ``gone`` (doc_id, text_key: the text's ``xxhash64``); a null id
+    is equal to a null id."""
+    gone = gone.distinct().toDF("gone_id", "gone_key")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_key"))
+    return documents.join(gone, same, "left_anti")
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; null is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import per_batch, sha256, utf8
+from lendlens.llm.common import per_batch, sha256, utf8, without
 from lendlens.session import materialize
 
 WINDOW = 10
@@ -155,6 +155,7 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that hold no occurrence, with all their columns."""
-    hits = matches(documents, benchmark, window).where(F.size("spans") > 0).select("doc_id").distinct()
-    return documents.join(hits, "doc_id", "left_anti")
+    """The documents that hold no occurrence, with all their columns; each row, also one with a null or
+    repeated id, is judged by its own text."""
+    hits = matches(documents, benchmark, window).where(F.size("spans") > 0)
+    return without(documents, hits.select("doc_id", F.xxhash64("text").alias("text_key")))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import per_batch, utf8
+from lendlens.llm.common import per_batch, utf8, without
 from lendlens.session import materialize
 
 WORDS = 5
@@ -373,6 +373,4 @@ def groups(documents: DataFrame) -> DataFrame:
 def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each group, with all its columns, decided by row: id and text. Rows that repeat the
     kept id in its group count as one document, as do rows without an id in a group that has none."""
-    gone = _judged(documents).where("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
-    own = F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_key"))
-    return documents.join(gone, own, "left_anti")
+    return without(documents, _judged(documents).where("NOT kept").select("doc_id", "text_key"))

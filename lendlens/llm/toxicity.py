@@ -24,7 +24,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import per_batch
+from lendlens.llm.common import per_batch, without
 from lendlens.session import materialize
 
 THRESHOLD = 0.3
@@ -166,24 +166,29 @@ class Scorer:
         return scored.drop("prediction", "rawPrediction", "probability")
 
     def score(self, documents: DataFrame) -> DataFrame:
-        """(doc_id, score) for every row."""
-        own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        """(doc_id, text_key, score) for every row, the key a hash of the text."""
+        own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
         if self.trees is None:
-            return own.select("doc_id", F.lit(self.share).alias("score"))
-        scored = self._margin(_featured(own, self.learned, "doc_id bigint"))
+            return own.select("doc_id", "text_key", F.lit(self.share).alias("score"))
+        scored = self._margin(_featured(own, self.learned, "doc_id bigint, text_key bigint"))
         raw = 1 / (1 + F.exp(-2 * F.col("margin")))
         if self.isotonic is None:
-            return scored.select("doc_id", raw.alias("score"))
+            return scored.select("doc_id", "text_key", raw.alias("score"))
         step = self.isotonic.transform(scored).withColumn("step", F.col("prediction"))
         # a little of the raw value keeps the order within a calibrated step
-        return step.select("doc_id", (0.98 * F.col("step") + 0.02 * raw).alias("score"))
+        return step.select("doc_id", "text_key", (0.98 * F.col("step") + 0.02 * raw).alias("score"))
 
 
 def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The contract's columns."""
+    return _predicted(documents, labels, threshold).drop("text_key")
+
+
+def _predicted(documents: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     scored = Scorer(documents, labels).score(documents)
     return scored.select(
         "doc_id",
+        "text_key",
         F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
@@ -191,6 +196,7 @@ def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
 
 def keep_clean(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are not rejected, with all their columns."""
-    rejected = classify(documents, labels, threshold).where("predicted = 1").select("doc_id").distinct()
-    return documents.join(rejected, "doc_id", "left_anti")
+    """The documents that are not rejected, with all their columns; each row, also one with a null or repeated
+    id, is judged by its own text."""
+    rejected = _predicted(documents, labels, threshold).where("predicted = 1").select("doc_id", "text_key")
+    return without(documents, rejected)

@@ -379,6 +379,22 @@ def test_toxicity_odd(spark):
     assert toxicity.keep_clean(df, labels.limit(0)).columns == df.columns
 
 
+def test_filters_judge_each_row(spark):
+    """Null and repeated ids: a row goes for its own text only."""
+    words = [f"w{k}" for k in range(12)]
+    leak, plain = " ".join(words), " ".join(reversed(words))
+    df = table(spark, [(None, "x " + leak), (None, plain), (5, leak), (5, plain), (6, None)])
+    bench = spark.createDataFrame([(1, leak)], "item_id bigint, text string")
+    kept = sorted(((r["doc_id"] or 0, r["text"] or "") for r in decontaminate.clean(df, bench).collect()))
+    assert kept == [(0, plain), (5, plain), (6, "")]
+    draw = random.Random(8)
+    texts = [(i, f"word{draw.randrange(50)} " + ("you vile idiot" if i % 3 == 0 else "fine day here")) for i in range(900)]
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i, _ in texts], "doc_id bigint, quality int, toxic int")
+    df = table(spark, [*texts, (None, texts[0][1]), (None, texts[1][1]), (1, texts[0][1])])
+    kept = [(r["doc_id"], r["text"]) for r in toxicity.keep_clean(df, labels).collect()]
+    assert sorted(kept, key=repr) == sorted([*(x for x in texts if x[0] % 3), (None, texts[1][1])], key=repr)
+
+
 @pytest.mark.parametrize("said", [0.1, 0.6])
 def test_toxicity_prior_of_a_small_sample(spark, said):
     draw = random.Random(3)
