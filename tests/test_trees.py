@@ -233,3 +233,36 @@ def test_odd_tables(spark, tmp_path, grower):
     flat.save(spark, str(tmp_path / "m"))
     again = trees.TreeModel.load(spark, str(tmp_path / "m"))
     assert (again.probability(x) == flat.probability(x)).all()
+
+
+# ---- tasks and walks
+
+
+def test_rows_that_are_worth_it_use_every_core(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert trees._tasks(spark, 100, 80) == 1
+    assert trees._tasks(spark, 1_000_000, 80) == cores
+    assert trees._tasks(spark, 100_000_000, 80) > cores
+    x, y = made(3 * trees.TASK_ROWS, 5)
+    rows = table(spark, x, y, 1)
+    stored = trees._stored(rows, "f", "id", "y", trees.bin_limits(rows, "f", "id", 16), 3)
+    assert stored.count() == len(x) and stored.rdd.getNumPartitions() > 1
+
+
+def test_walk_like_plain():
+    draw = np.random.default_rng(3)
+    tree = trees.Tree()
+    for node in (0, 2, 4, 6, 8, 10, 1, 13):  # a chain longer than the steps between two looks, and a side branch
+        tree.split(node, int(draw.integers(3)), float(draw.normal()))
+    x = draw.normal(size=(500, 3))
+    x[::50, 1] = np.nan  # goes right
+
+    def plain(row):
+        node = 0
+        while tree.feature[node] >= 0:
+            node = tree.left[node] if row[tree.feature[node]] <= tree.cut[node] else tree.right[node]
+        return node
+
+    assert tree.walk(x).tolist() == [plain(r) for r in x]
+    assert trees.Tree().walk(x).tolist() == [0] * len(x)
+    assert tree.walk(x[:0]).tolist() == []
