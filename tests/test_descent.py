@@ -79,3 +79,13 @@ def test_odd_tables(spark, tmp_path):
     got = {r["id"]: r["p"] for r in df.withColumn("p", model.score(F.col("f"))).collect()}
     want = 1 / (1 + np.exp(-(x @ np.array(model.weights) + model.intercept)))
     assert [got[i] for i in range(40)] == pytest.approx(list(want))
+
+
+def test_order_compares_only_rows_of_one_draw():
+    made = np.random.default_rng(1)
+    x = made.integers(0, 2, size=(400, 5)).astype(float)
+    draw, y = made.integers(0, 60, 400).astype(np.uint64), made.integers(0, 2, 400)
+    full = np.lexsort((*x.T[::-1], y, draw))
+    found = descent.ordered(draw, y, x)
+    assert (x[found] == x[full]).all() and (y[found] == y[full]).all() and (draw[found] == draw[full]).all()
+    assert sorted(found) == list(range(400))
