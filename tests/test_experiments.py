@@ -210,3 +210,12 @@ def test_text_quality_is_learnt_from_whole_texts(spark, tmp_path):
     for name in ("Logistic_Regression", "Random_Forest"):
         fitted = models.fit(name, ready.sets["all"].train, "features", TARGET, SMALL)
         assert auc(models.score(fitted, ready.sets["all"].val, "features"), "score", TARGET).first()["auc"] > 0.8
+
+
+def test_train_partitions_do_not_grow_in_number_with_the_rows(spark, monkeypatch):
+    rows = spark.range(0, 64_000, 1, 64).selectExpr("id", "array(double(id), 1D) AS f")
+    monkeypatch.setattr(models, "PARTITION_BYTES", 16_000)
+    cores = spark.sparkContext.defaultParallelism
+    assert models._packed(rows, "f").rdd.getNumPartitions() == 2 * cores
+    monkeypatch.setattr(models, "MOST_BYTES", 32_000)
+    assert models._packed(rows, "f").rdd.getNumPartitions() == 32
