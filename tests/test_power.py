@@ -98,3 +98,11 @@ def test_odd_columns(spark):
     got = power.fit_lambdas(df, df.columns)
     assert set(got) == {"two", "low", "wide"} and all(np.isfinite(v) for v in got.values())
     assert power.fit_lambdas(df.limit(0), df.columns) == {}
+
+
+def test_a_pass_takes_each_power_once(spark, capsys):
+    rows = spark.range(10).selectExpr("double(id) AS e", "double(id) / 7 AS a").persist()
+    power._derivatives(rows).explain("extended")
+    rows.unpersist()
+    physical = capsys.readouterr().out.split("== Physical Plan ==")[1]
+    assert physical.count("EXPM1(") == 1 and physical.count("EXP(") == 1
