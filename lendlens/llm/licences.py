@@ -15,6 +15,8 @@ of them; rows without an id are taken as one id; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
@@ -106,6 +108,8 @@ CONFIRM = 0.7
 # Signs of a comment's blank line; where a paragraph ends: blank lines, a line break behind a sentence
 SIGNS = "\n\t#*/;%-"
 BREAK = r"\n[\s#*/;%-]*\n|\n(?<=[.!?:;…。！？][\"'”’»)\]]{0,2}[ \t]{0,4}\n)"
+# Fixed value: what ends a line, next to \n
+OTHER_BREAKS = "\r\x0b\f\x85\u2028\u2029"
 #: Word pairs that a part of a template shares with it, at least.
 PART_PAIRS = 4
 
@@ -116,7 +120,10 @@ def _words(text: Column) -> Column:
 
 def _paragraphs(text: Column) -> Column:
     """The paragraphs of a text, with the line breaks inside them."""
-    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"\R", "\n"), BREAK)
+    text = F.coalesce(text, F.lit(""))
+    # most texts have no other line break than \n
+    other = reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in OTHER_BREAKS])
+    parts = F.split(F.when(other, F.regexp_replace(text, r"\R", "\n")).otherwise(text), BREAK)
     return F.filter(parts, lambda x: F.trim(F.translate(x, SIGNS, "")) != "")
 
 
@@ -156,11 +163,11 @@ class Classifier:
         known = known.withColumn("words", F.when(F.col("v") % 2 == 1, F.concat(kept, around)).otherwise(kept))
         lines = paragraphs(documents)
         total = lines.count()
-        # a line near a template would be no unknown one; words that the templates hold keep it out
-        clean = lines.where(~F.lower("line").rlike(r"licen[cs]e|copyright|public domain|rights reserved|spdx|cc by|warrant|redistribution|hereby granted|liable for any|notice shall"))
         share = min(1.0, unknown / max(total, 1))
-        # single lines are drawn, so a line that repeats is not drawn by its content alone
-        some = clean.where(F.pmod(F.xxhash64("doc_id", "line"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+        # single lines are drawn, so a line that repeats is not drawn by its content alone; the words of those few are looked at
+        some = lines.where(F.pmod(F.xxhash64("doc_id", "line"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+        # a line near a template would be no unknown one; words that the templates hold keep it out
+        some = some.where(~F.lower("line").rlike(r"licen[cs]e|copyright|public domain|rights reserved|spdx|cc by|warrant|redistribution|hereby granted|liable for any|notice shall"))
         other = some.select(
             F.lit(0.0).alias("label"), _words(F.col("line")).alias("words"), F.pmod(F.xxhash64("line"), F.lit(4)).alias("v")
         )
@@ -180,9 +187,13 @@ class Classifier:
 
     def known(self, lines: DataFrame) -> DataFrame:
         """(doc_id, row, at, words, family, probability) of the lines of ``paragraphs`` that are of a family."""
-        scored = self.calibration.transform(self._any(_vectors(lines.withColumn("words", _words(F.col("line"))))))
+        lines = lines.select("doc_id", "row", "at", _words(F.col("line")).alias("words"))
+        scored = self.calibration.transform(self._any(_vectors(lines)))
+        # a numbered row is filtered where it stands: pushed down, the filter would work out words, vector and
+        # probabilities of each line again, once for every use
+        scored = scored.withColumn("line_id", F.monotonically_increasing_id())
         family = F.element_at(F.array(*map(F.lit, FAMILIES)), F.col("best") + 1)
-        found = scored.where("prediction >= 0.5")
+        found = scored.where("prediction >= 0.5 AND line_id >= 0")
         return found.select("doc_id", "row", "at", "words", family.alias("family"), F.col("prediction").alias("probability"))
 
 

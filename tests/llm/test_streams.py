@@ -345,3 +345,18 @@ def test_a_used_folder_and_a_changed_archive(spark, tmp_path):
     one.write_bytes(one.read_bytes() * 2)
     with pytest.raises(Exception, match="not the file of the manifest"):
         warc.read_back(manifest, folder).collect()
+
+
+def test_licence_scores_are_worked_out_once_a_line(spark, capsys):
+    docs = table(spark, [(k, f"Line {k} of some plain text.\nReleased under the MIT License.") for k in range(40)])
+    known = licences.Classifier(docs).known(licences.paragraphs(docs))
+    known.explain("extended")
+    physical = capsys.readouterr().out.split("== Physical Plan ==")[1]
+    assert physical.count("regexp_extract_all(") == 1
+
+
+def test_every_line_break_ends_a_line(spark):
+    breaks = ["\n", "\r\n", "\r", "\x0b", "\f", "\x85", " ", " "]
+    docs = table(spark, [(k, f"First line{b}{b}Second line.{b}Third") for k, b in enumerate(breaks)])
+    rows = docs.select("doc_id", licences._paragraphs(F.col("text")).alias("p")).collect()
+    assert {tuple(r["p"]) for r in rows} == {("First line", "Second line.", "Third")}
