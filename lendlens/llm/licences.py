@@ -144,8 +144,12 @@ def templates(spark: SparkSession) -> DataFrame:
 
 def _vectors(df: DataFrame) -> DataFrame:
     """Adds ``features`` for the word list ``words``."""
-    df = NGram(n=2, inputCol="words", outputCol="two").transform(df)
-    df = NGram(n=3, inputCol="words", outputCol="three").transform(df)
+    def longer(grams: str, n: int) -> Column:  # the grams of n words, from those of one word less
+        few = F.greatest(F.size("words") - (n - 1), F.lit(0))
+        return F.zip_with(F.slice(grams, 1, few), F.slice("words", n, few), lambda a, b: F.concat(a, F.lit(" "), b))
+
+    df = df.withColumn("two", longer("words", 2))
+    df = df.withColumn("three", longer("two", 3))
     hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=BUCKETS, binary=True)
     return hashed.transform(df.withColumn("grams", F.concat("words", "two", "three"))).drop("grams", "two", "three")
 

@@ -356,7 +356,14 @@ def test_licence_scores_are_worked_out_once_a_line(spark, capsys):
 
 
 def test_every_line_break_ends_a_line(spark):
-    breaks = ["\n", "\r\n", "\r", "\x0b", "\f", "\x85", " ", " "]
+    breaks = ["\n", "\r\n", "\r", "\x0b", "\f", "\x85", "\u2028", "\u2029"]
     docs = table(spark, [(k, f"First line{b}{b}Second line.{b}Third") for k, b in enumerate(breaks)])
     rows = docs.select("doc_id", licences._paragraphs(F.col("text")).alias("p")).collect()
     assert {tuple(r["p"]) for r in rows} == {("First line", "Second line.", "Third")}
+
+
+def test_grams_of_few_words(spark):
+    words = [[], ["a"], ["a", "b"], ["a", "b", "c"], ["a", "b", "c", "d"]]
+    rows = spark.createDataFrame([(k, w) for k, w in enumerate(words)], "id int, words array<string>")
+    sizes = [r["features"].numNonzeros() for r in licences._vectors(rows).orderBy("id").collect()]
+    assert sizes == [0, 1, 3, 6, 9]
