@@ -95,6 +95,25 @@ def test_repeats_odd(spark):
     assert suffix.deduplicate(table(spark, [])).count() == 0
 
 
+def test_repeats_leave_the_texts_where_they_are(spark, capsys):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        suffix.deduplicate(table(spark, made_of_passages(random.Random(3), 40))).explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    moved = capsys.readouterr().out.split("Exchange\n")[1:]
+    assert moved and not any("text#" in x.split("\n")[0] for x in moved)
+
+
+def test_segments_carry_no_content(spark):
+    texts = table(spark, made_of_passages(random.Random(4), 40)).select(F.col("doc_id").alias("doc"), "text")
+    rows = suffix._segment_rows(texts)
+    assert [t for _, t in rows.dtypes] == ["bigint"] * 3
+    want = {(r["doc"], *s) for r in texts.collect() for s in suffix.segments(r["text"].encode())}
+    assert {(r["doc"], r["gram"], r["at"] >> 7, r["at"] & 127) for r in rows.collect()} == want
+
+
 # --- archives
 
 
