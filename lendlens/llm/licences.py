@@ -15,7 +15,7 @@ of them; rows without an id are taken as one id; other columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram
@@ -106,10 +106,10 @@ UNKNOWN_LINES = 4_000
 VARIANTS = 24
 CONFIRM = 0.7
 # Signs of a comment's blank line; where a paragraph ends: blank lines, a line break behind a sentence
-SIGNS = "\n\t#*/;%-"
-BREAK = r"\n[\s#*/;%-]*\n|\n(?<=[.!?:;…。！？][\"'”’»)\]]{0,2}[ \t]{0,4}\n)"
+SIGNS = r"\n\t#*/;%-"
+BREAK = r"\n(?:[\s#*/;%-]*\n|(?<=[.!?:;…。！？][\"'”’»)\]]{0,2}[ \t]{0,4}\n))"
 # Fixed value: what ends a line, next to \n
-OTHER_BREAKS = "\r\x0b\f\x85\u2028\u2029"
+OTHER_BREAKS = r"\r\x0b\f\x85\u2028\u2029"
 #: Word pairs that a part of a template shares with it, at least.
 PART_PAIRS = 4
 
@@ -122,18 +122,53 @@ def _paragraphs(text: Column) -> Column:
     """The paragraphs of a text, with the line breaks inside them."""
     text = F.coalesce(text, F.lit(""))
     # most texts have no other line break than \n
-    other = reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in OTHER_BREAKS])
+    other = text.rlike(f"[{OTHER_BREAKS}]")
     parts = F.split(F.when(other, F.regexp_replace(text, r"\R", "\n")).otherwise(text), BREAK)
-    return F.filter(parts, lambda x: F.trim(F.translate(x, SIGNS, "")) != "")
+    return F.filter(parts, lambda x: x.rlike(f"[^ {SIGNS}]"))
 
 
 def paragraphs(documents: DataFrame) -> DataFrame:
     """(doc_id, row, at, line): each paragraph as a whole, and its lines if it has several."""
     own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "text")
     whole = own.select("doc_id", "row", F.posexplode(_paragraphs(F.col("text"))).alias("at", "whole"))
-    several = F.filter(F.split("whole", "\n"), lambda x: F.trim(x) != "")
-    lines = F.when(F.size(several) > 1, F.concat(F.array("whole"), several)).otherwise(F.array("whole"))
-    return whole.select("doc_id", "row", "at", F.explode(lines).alias("line"))
+    return whole.select("doc_id", "row", "at", F.explode(_lines(F.col("whole"))).alias("line"))
+
+
+def _lines(whole: Column) -> Column:
+    """A paragraph as a whole, and its lines if it has several."""
+    several = F.filter(F.split(whole, "\n"), lambda x: F.trim(x) != "")
+    return F.when(F.contains(whole, F.lit("\n")) & (F.size(several) > 1), F.concat(F.array(whole), several)).otherwise(F.array(whole))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _drawn(doc_id: Column, line: Column, share: float) -> Column:
+    return F.pmod(F.xxhash64(doc_id, line), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
+
+
+def looked(documents: DataFrame, unknown: int) -> DataFrame:
+    """(doc_id, n_paragraphs, n_lines, some) per row, in one pass: ``some`` are at least the lines drawn as ``unknown``
+    of all lines are."""
+    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # a row with a letter has a line, so there are as many lines at least
+    least = own.where(F.col("text").rlike(r"[\p{L}\p{N}]")).count()
+    share = min(1.0, unknown / max(least, 1))
+
+    def of(parts: Column) -> Column:
+        return _let(
+            F.flatten(F.transform(parts, _lines)),
+            lambda lines: F.struct(
+                F.size(parts).cast("long").alias("n_paragraphs"),
+                F.size(lines).cast("long").alias("n_lines"),
+                F.filter(lines, lambda x: _drawn(F.col("doc_id"), x, share)).alias("some"),
+            ),
+        )
+
+    found = own.select("doc_id", _let(_paragraphs(F.col("text")), of).alias("found"))
+    return materialize(found, "licence_counts").select("doc_id", "found.*")
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -155,7 +190,7 @@ def _vectors(df: DataFrame) -> DataFrame:
 
 
 class Classifier:
-    """A fitted model; index 0 is the unknown class."""
+    """A fitted model; index 0 is the unknown class. ``rows`` has the counts of each row of the documents."""
 
     def __init__(self, documents: DataFrame, unknown: int = UNKNOWN_LINES):
         spark = documents.sparkSession
@@ -165,11 +200,11 @@ class Classifier:
         kept = F.filter(_words(F.col("text")), lambda w: (F.col("v") < 6) | ~drawn(F.lit("drop"), "v", w))
         around = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.lower(F.hex(F.xxhash64(F.lit("word"), "v", "text", i))))
         known = known.withColumn("words", F.when(F.col("v") % 2 == 1, F.concat(kept, around)).otherwise(kept))
-        lines = paragraphs(documents)
-        total = lines.count()
+        self.rows = looked(documents, unknown)
+        total = self.rows.agg(F.sum("n_lines")).first()[0] or 0
         share = min(1.0, unknown / max(total, 1))
         # single lines are drawn, so a line that repeats is not drawn by its content alone; the words of those few are looked at
-        some = lines.where(F.pmod(F.xxhash64("doc_id", "line"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+        some = self.rows.select("doc_id", F.explode("some").alias("line")).where(_drawn(F.col("doc_id"), F.col("line"), share))
         # a line near a template would be no unknown one; words that the templates hold keep it out
         some = some.where(~F.lower("line").rlike(r"licen[cs]e|copyright|public domain|rights reserved|spdx|cc by|warrant|redistribution|hereby granted|liable for any|notice shall"))
         other = some.select(
@@ -230,14 +265,15 @@ def confirmed(known: DataFrame) -> DataFrame:
 def scan(documents: DataFrame) -> DataFrame:
     """(doc_id, n_paragraphs, n_licensed, n_confirmed, families) per row of ``documents``."""
     # written once: what follows reads the few known lines, not the scores again
-    found = confirmed(materialize(Classifier(documents).known(paragraphs(documents)), "licence_lines"))
+    classifier = Classifier(documents)
+    found = confirmed(materialize(classifier.known(paragraphs(documents)), "licence_lines"))
     place = F.struct("row", "at")
     per_doc = found.groupBy("doc_id").agg(
         F.count_distinct(place).alias("n_licensed"),
         F.count_distinct(F.when(F.col("confirmed"), place)).alias("n_confirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
     )
-    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.size(_paragraphs(F.col("text"))).cast("long").alias("n_paragraphs"))
+    own = classifier.rows.select("doc_id", "n_paragraphs")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     out = own.join(per_doc, own["doc_id"].eqNullSafe(per_doc["doc_id"]), "left").drop(per_doc["doc_id"])
     return out.select("doc_id", "n_paragraphs", zero("n_licensed"), zero("n_confirmed"), F.coalesce("families", F.lit("")).alias("families"))

@@ -374,6 +374,24 @@ def test_licence_scores_are_worked_out_once_a_line(spark, capsys):
     assert physical.count("regexp_extract_all(") == 1
 
 
+def test_lines_are_counted_and_drawn_in_one_pass(spark, monkeypatch):
+    texts = [None, "", " \n%%\n", "One.\nTwo.\n\nThree\nfour", *(f"Line {k}.\n\nand\nmore of {k}" for k in range(60))]
+    docs = table(spark, list(enumerate(texts)))
+    lines = licences.paragraphs(docs)
+    want = {r["doc_id"]: (r["p"], r["n"]) for r in lines.groupBy("doc_id").agg(F.count_distinct("at").alias("p"), F.count("*").alias("n")).collect()}
+    rows = licences.looked(docs, 20).collect()
+    assert {r["doc_id"]: (r["n_paragraphs"], r["n_lines"]) for r in rows} == {k: want.get(k, (0, 0)) for k in range(len(texts))}
+    # the draw of 20 of all lines is among those kept
+    drawn = {(r["doc_id"], r["line"]) for r in lines.where(licences._drawn(F.col("doc_id"), F.col("line"), 20 / lines.count())).collect()}
+    kept = {(r["doc_id"], x) for r in rows for x in r["some"]}
+    assert drawn and drawn <= kept and len(kept) < lines.count()
+    # the corpus is split for the counts and for the scores, not more
+    split, asked = licences._paragraphs, []
+    monkeypatch.setattr(licences, "_paragraphs", lambda text: asked.append(1) or split(text))
+    licences.scan(docs).collect()
+    assert len(asked) == 2
+
+
 def test_every_line_break_ends_a_line(spark):
     breaks = ["\n", "\r\n", "\r", "\x0b", "\f", "\x85", "\u2028", "\u2029"]
     docs = table(spark, [(k, f"First line{b}{b}Second line.{b}Third") for k, b in enumerate(breaks)])
