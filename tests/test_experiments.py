@@ -10,6 +10,7 @@ from lendlens.operators.metrics import auc
 from lendlens.plans import experiments
 from lendlens.plans.mart import KEY, TARGET, applicant_mart
 from lendlens.plans.prepare import apply_params, load_or_prepare, load_params, prepare, verify
+from lendlens.session import work_dir
 
 SMALL = models.Settings(trees=20, rounds=5, max_iter=100)
 
@@ -64,6 +65,20 @@ def test_reused_only_for_equal_options_and_sources(spark, mart, tmp_path):
     assert [(r["feature_set"], r["part"]) for r in changed] == [("all", "val")]
 
 
+def test_preparation_leaves_nothing_but_the_sets(spark, mart, ready, tmp_path):
+    import os
+
+    folder = work_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    again = load_or_prepare(spark, str(tmp_path / "sets"), lambda: applicant_mart(tables.sources(spark, "/root/testdata/sf0.01"), stored=True))
+    assert set(os.listdir(folder)) == before
+    for name, data in again.sets.items():
+        assert data.features == ready.sets[name].features
+        for own, other in ((data.train, ready.sets[name].train), (data.val, ready.sets[name].val)):
+            keys = [df.select(KEY, TARGET).groupBy(KEY, TARGET).count() for df in (own, other)]
+            assert keys[0].exceptAll(keys[1]).count() == 0 and own.count() == other.count()
+
+
 def test_fit_on_train_differs(mart, ready, tmp_path):
     other = prepare(mart, str(tmp_path / "train"), fit_on="train")
     assert other.params.lambdas != ready.params.lambdas

@@ -54,6 +54,46 @@ def test_far_fewer_visits_than_blocks_on_clustered_rows(spark, small_blocks):
     assert visits.count() == 800
 
 
+def test_rows_see_only_the_blocks_that_may_hold_a_neighbour(spark, small_blocks):
+    rng = np.random.default_rng(3)
+    x = np.repeat(np.eye(8) * 100, 100, axis=0) + rng.normal(size=(800, 8)) * 0.1
+    rows = frame(spark, np.arange(800), x)
+    pivots = [list(map(float, x[i * 100])) for i in range(8)]
+    stats = nb._cell_stats(nb._with_cells(rows, pivots), 5)
+    visits = nb._visits(rows, pivots, stats, 5, 100, 1)
+    assert visits.agg(F.countDistinct("chunk"), F.sum(F.size("blocks"))).first()[:] == (8, 800)
+
+
+def test_cells_share_blocks_of_bounded_size():
+    rng = np.random.default_rng(5)
+    pivots, sizes = rng.normal(size=(60, 3)).tolist(), rng.integers(1, 90, 60).tolist()
+    sizes[7] = 650
+    layout = nb._layout(pivots, [{"cell": c, "n": n} for c, n in enumerate(sizes)], 200)
+    held = {}
+    for c, (first, parts) in layout.items():
+        held[first] = held.get(first, 0) + sizes[c] / parts
+    assert layout[7][1] == 4 and max(held.values()) <= 200
+    assert len(held) + 3 <= 2 * (sum(sizes) / 200) + 4
+
+
+def test_vectors_are_not_sent_once_for_each_cell(spark, small_blocks):
+    """Rows without clusters see every cell; only packed rows and the answers are shuffled."""
+    rng = np.random.default_rng(6)
+    x, ids = rng.normal(size=(1200, 6)), np.arange(1200)
+    found = nb.neighbors(frame(spark, ids, x), "id", "v", 5, block_bytes=1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert as_lists(found) == brute(ids, x, 5)
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 1 and "FlatMapCoGroups" not in plan
+
+
+def test_repeated_ids_are_not_their_own_neighbours(spark):
+    x = np.array([[0.0], [0.0], [1.0], [1.0], [3.0], [3.0], [7.0], [7.0]])
+    got = nb.neighbors(frame(spark, [0, 0, 1, 1, 2, 2, 3, 3], x), "id", "v", 3).collect()
+    assert all(r["a"] != r["b"] for r in got)
+    assert {r["a"]: sorted(b["b"] for b in got if b["a"] == r["a"]) for r in got} == {0: [1, 1, 1], 1: [0, 0, 0], 2: [1, 1, 1], 3: [2, 2, 2]}
+
+
 def test_fewer_rows_than_neighbours(spark):
     x = np.array([[0.0], [1.0], [5.0]])
     got = as_lists(nb.neighbors(frame(spark, np.arange(3), x), "id", "v", 5))

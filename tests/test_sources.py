@@ -1,6 +1,6 @@
 import pytest
 
-from lendlens.session import materialize, work_dir
+from lendlens.session import materialize, scratch, work_dir
 from lendlens.sources.tables import delete, exists, nan_to_null, read_sources, write_csv
 
 
@@ -44,6 +44,18 @@ def test_materialized_table_has_no_lineage(spark):
     assert df.count() == 10
 
 
+def test_scratch_tables_end_with_their_scope(spark):
+    kept = materialize(spark.range(3).selectExpr("id AS k"))
+    with scratch(spark):
+        outer = materialize(kept, "outer")
+        with scratch(spark):
+            inner = materialize(outer, "inner")
+            assert inner.count() == 3
+        assert outer.count() == 3 and not exists(spark, inner.inputFiles()[0])
+        files = outer.inputFiles()
+    assert kept.count() == 3 and not exists(spark, files[0])
+
+
 def test_work_dir_is_the_configured_folder(spark):
     work_dir(spark)
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
