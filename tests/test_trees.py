@@ -3,9 +3,11 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lendlens.operators import trees
+from lendlens.session import scratch, work_dir
 
 
 def table(spark, x, y, parts=3):
@@ -266,3 +268,51 @@ def test_walk_like_plain():
     assert tree.walk(x).tolist() == [plain(r) for r in x]
     assert trees.Tree().walk(x).tolist() == [0] * len(x)
     assert tree.walk(x[:0]).tolist() == []
+
+
+# ---- blocks and passing tables
+
+
+def folders(spark, name):
+    import os
+
+    return {f for f in os.listdir(work_dir(spark).removeprefix("file:")) if f.startswith(name)}
+
+
+def test_train_rows_lie_in_blocks_of_bytes(spark):
+    x, y = made(3000, 5)
+    rows = table(spark, x, y, 4)
+    stored = trees._blocks(trees._stored(rows, "f", "id", "y", None, 2))
+    assert stored.count() <= 4
+    names = [pa.array(c) for c in zip(*[[bytes(v) for v in r] for r in stored.collect()])]
+    blocks = list(trees._rows([pa.RecordBatch.from_arrays(names, ["key", "y", "raw", "x"])], float))
+    back = np.concatenate([np.column_stack([b[1], b[3]]) for b in blocks])
+    assert sorted(map(tuple, back)) == sorted(map(tuple, np.column_stack([y, x])))
+
+
+def test_tables_of_earlier_rounds_are_deleted(spark, monkeypatch):
+    monkeypatch.setattr(trees, "REFRESH", 2)
+    x, y = made(400, 4)
+    before, seen = folders(spark, "train"), []
+
+    def counting(*args, plain=trees.materialize, **options):
+        seen.append(len(folders(spark, "train") - before))
+        return plain(*args, **options)
+
+    monkeypatch.setattr(trees, "materialize", counting)
+    with scratch(spark):
+        model = trees.Boosting(rounds=9, leaves=4, min_rows=5).fit(table(spark, x, y, 2), "f", "id", "y")
+    assert len(model.trees) == 9 and len(seen) == 5 and max(seen) == 1
+    assert folders(spark, "train") == before
+
+
+def test_small_nodes_are_finished_in_one_pass(spark, monkeypatch):
+    x, y = made(3000, 5)
+    rows = table(spark, x, y, 3)
+    whole = trees.Boosting(rounds=1, leaves=20, min_rows=5).fit(rows, "f", "id", "y")
+    monkeypatch.setattr(trees, "NODE_BYTES", 5 * 1000)
+    passes, plain = [], trees.Boosting._finished
+    monkeypatch.setattr(trees.Boosting, "_finished", lambda self, *a: passes.append(list(a[2])) or plain(self, *a))
+    parted = trees.Boosting(rounds=1, leaves=20, min_rows=5).fit(rows, "f", "id", "y")
+    assert (parted.probability(x) == whole.probability(x)).all()
+    assert len(passes) == 1 and len(passes[0]) > 2
