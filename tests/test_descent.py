@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lendlens.operators import descent
 
@@ -89,3 +90,19 @@ def test_order_compares_only_rows_of_one_draw():
     found = descent.ordered(draw, y, x)
     assert (x[found] == x[full]).all() and (y[found] == y[full]).all() and (draw[found] == draw[full]).all()
     assert sorted(found) == list(range(400))
+
+
+def test_a_shard_is_read_by_one_task_also_where_files_are_split(spark):
+    x, y = made(20_000, 7, 12)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    hadoop.set("parquet.block.size", "65536")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        stored = descent.Descent()._stored(table(spark, x, y), "f", "id", "y", 3)
+        tasks = stored.select("shard", F.spark_partition_id().alias("task")).distinct().groupBy("shard").count()
+        assert sorted(r["count"] for r in tasks.collect()) == [1, 1, 1]
+        assert stored.count() < 100
+    finally:
+        hadoop.unset("parquet.block.size")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
