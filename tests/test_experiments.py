@@ -234,3 +234,16 @@ def test_train_partitions_do_not_grow_in_number_with_the_rows(spark, monkeypatch
     assert models._packed(rows, "f").rdd.getNumPartitions() == 2 * cores
     monkeypatch.setattr(models, "MOST_BYTES", 32_000)
     assert models._packed(rows, "f").rdd.getNumPartitions() == 32
+
+
+def test_a_fit_keeps_no_second_copy_of_the_rows(spark, ready, monkeypatch):
+    import os
+
+    seen, plain = [], models.fit_prepared
+    monkeypatch.setattr(models, "fit_prepared", lambda name, train, *rest: seen.append(train.is_cached) or plain(name, train, *rest))
+    folder = work_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    for name in ("Linear_Regression", "Logistic_Regression", "SVM", "Extra_Trees"):
+        models.fit(name, ready.sets["alternative"].train, "features", TARGET, models.Settings(trees=3, max_iter=5))
+    assert seen == [False] * 4 and set(os.listdir(folder)) == before
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
